@@ -115,6 +115,11 @@ def calendar_flags(spark, sf_dir):
     )
 
 
+def feature_sql(lookback_days: int = 90) -> str:
+    """DuckDB SQL of the whole feature table (also used as a CTE by other oracles)."""
+    return _feature_sql(lookback_days)
+
+
 def _feature_sql(lookback_days: int) -> str:
     joins, cols = [], []
     for w in W:
