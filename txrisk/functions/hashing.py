@@ -21,3 +21,15 @@ def md5_key_sql(*parts: str) -> str:
     """The DuckDB form of :func:`md5_key` for oracle SQL."""
     text = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
     return f"CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT)"
+
+
+def md5_key60(*parts) -> Column:
+    """Unsigned 60-bit key (first 15 hex digits of the md5), for indexes beyond 2^32."""
+    cols = [F.col(p) if isinstance(p, str) else p for p in parts]
+    text = F.concat_ws(":", *[c.cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def md5_key60_sql(*parts: str) -> str:
+    text = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return f"CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT)"
