@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import eval_queries, feature_queries, label_queries, message_queries, split_queries  # noqa: F401
+from . import eval_queries, feature_queries, label_queries, message_queries, model_queries, split_queries  # noqa: F401
 from .registry import REGISTRY, SQL
 
 
