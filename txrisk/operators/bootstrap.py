@@ -41,9 +41,14 @@ def bootstrap_auc(scores: DataFrame, replicates: int = REPLICATES, seed: int = 4
     slots = rows.select(model_col, "_i", "_n", reps)
     draws = slots.select(model_col, "replicate",
                          (md5_key60(F.lit(str(seed)), model_col, "replicate", "_i") % F.col("_n")).alias("_j"))
-    weights = draws.groupBy(model_col, "replicate", "_j").agg(F.count(F.lit(1)).alias("_w"))
+    # One shuffle on (model, row index) serves both the multiplicity count and the
+    # join back to the rows.
+    n = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    weights = (draws.repartition(n, model_col, "_j")
+               .groupBy(model_col, "_j", "replicate").agg(F.count(F.lit(1)).alias("_w")))
     picked = weights.join(rows.select(model_col, F.col("_i").alias("_j"), label_col, score_col), [model_col, "_j"])
-    return roc_auc(picked, label_col, score_col, group_cols=[model_col, "replicate"], weight_col="_w")
+    return roc_auc(picked, label_col, score_col, group_cols=[model_col, "replicate"], weight_col="_w",
+                   cuts_from=scores.select(score_col), materialize=True)
 
 
 def replicate_stats(aucs: DataFrame, model_col: str = "model") -> DataFrame:
