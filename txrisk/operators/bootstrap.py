@@ -37,13 +37,16 @@ def bootstrap_auc(scores: DataFrame, replicates: int = REPLICATES, seed: int = 4
                   score_col: str = "score") -> DataFrame:
     """(model, replicate, roc_auc, n_pos, n_neg) for every replicate."""
     rows = index_rows(scores, model_col, row_col)
+    n = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reps = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate")
-    slots = rows.select(model_col, "_i", "_n", reps)
+    # The slot table is small before the x replicates expansion, and AQE may have
+    # coalesced it into a few partitions: spread it first so the expansion runs
+    # on every task.
+    slots = rows.select(model_col, "_i", "_n").repartition(n).select(model_col, "_i", "_n", reps)
     draws = slots.select(model_col, "replicate",
                          (md5_key60(F.lit(str(seed)), model_col, "replicate", "_i") % F.col("_n")).alias("_j"))
     # One shuffle on (model, row index) serves both the multiplicity count and the
     # join back to the rows.
-    n = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     weights = (draws.repartition(n, model_col, "_j")
                .groupBy(model_col, "_j", "replicate").agg(F.count(F.lit(1)).alias("_w")))
     picked = weights.join(rows.select(model_col, F.col("_i").alias("_j"), label_col, score_col), [model_col, "_j"])
