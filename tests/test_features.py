@@ -88,3 +88,23 @@ def test_scan_prunes_columns(spark):
     df = feat.customer_spending(src.transactions(spark, SF01)).select(S.TX_ID, S.customer_nb_tx(1))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "event_type" not in plan
+
+
+def test_hot_key_form_equals_window_form(spark):
+    tx = src.transactions(spark, SF01)
+    # make one terminal hold a third of all rows
+    hot = tx.withColumn(S.TERMINAL_ID, F.when(F.col(S.TX_ID) % 3 == 0, F.lit(7)).otherwise(F.col(S.TERMINAL_ID)))
+    a = feat.feature_table(hot, lookback_days=90)
+    b = feat.feature_table_hot_keys(hot, lookback_days=90)
+    cols = a.columns
+    def rounded(df):
+        return df.select(*[F.round(c, 9).alias(c) if ("_AVG_" in c or "_RISK_" in c) else F.col(c) for c in cols])
+    assert b.count() == a.count() == 10000
+    assert rounded(a).exceptAll(rounded(b)).count() == 0
+    half_a = feat.terminal_risk(hot, bounds="half_open")
+    half_b = feat.risk_per_second(hot, bounds="half_open").select(*half_a.columns)
+    assert rounded_cols(half_a).exceptAll(rounded_cols(half_b)).count() == 0
+
+
+def rounded_cols(df):
+    return df.select(*[F.round(c, 9).alias(c) if ("_RISK_" in c) else F.col(c) for c in df.columns])

@@ -131,3 +131,61 @@ def feature_table(df: DataFrame, lookback_days: int | None = 90, delay: int = S.
     df = customer_spending(df, windows, bounds)
     df = terminal_risk(df, delay, windows, bounds)
     return fill_numeric_nulls(df)
+
+
+# ---- hot-key form -----------------------------------------------------------------
+# Closed spending frames and both risk frames depend only on (key, second): every
+# row of one second of one key sees the same frame. So the rows can be
+# pre-aggregated per (key, second) - a hash aggregate with map-side combine, safe
+# for a key holding a third of all rows - the windows run over that table, whose
+# size per key is bounded by the seconds of the time span rather than by the
+# transaction volume, and the results are joined back on (key, second); AQE's
+# skew join splits the hot key's side of that join.
+
+def spending_per_second(df: DataFrame, windows=S.WINDOWS, key: str = S.CUSTOMER_ID,
+                        time_col: str = S.TX_DATETIME, amount_col: str = S.TX_AMOUNT) -> DataFrame:
+    """W1 (closed) through per-(key, second) pre-aggregation; same columns as ``customer_spending``."""
+    per = df.groupBy(key, cal.epoch_seconds(time_col).alias("_sec")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(amount_col).alias("_s"), F.count(amount_col).alias("_na"))
+    by_time = Window.partitionBy(key).orderBy("_sec")
+    cols = []
+    for w in windows:
+        frame = by_time.rangeBetween(-w * DAY, 0)
+        cols.append(F.sum("_n").over(frame).alias(f"{key}_NB_TX_{w}DAY_WINDOW"))
+        cols.append(F.try_divide(F.sum("_s").over(frame), F.sum("_na").over(frame))
+                    .alias(f"{key}_AVG_AMOUNT_{w}DAY_WINDOW"))
+    feats = per.select(key, "_sec", *cols)
+    return (df.withColumn("_sec", cal.epoch_seconds(time_col)).join(feats, [key, "_sec"]).drop("_sec"))
+
+
+def risk_per_second(df: DataFrame, delay: int = S.DELAY_DAYS, windows=S.WINDOWS, bounds: str = "closed",
+                    key: str = S.TERMINAL_ID, time_col: str = S.TX_DATETIME,
+                    label_col: str = S.TX_FRAUD) -> DataFrame:
+    """W3/W4 through per-(key, second) pre-aggregation; same columns as ``terminal_risk``."""
+    _check_bounds(bounds)
+    per = df.groupBy(key, cal.epoch_seconds(time_col).alias("_sec")).agg(
+        F.sum(label_col).alias("_f"), F.count(label_col).alias("_c"))
+    by_time = Window.partitionBy(key).orderBy("_sec")
+    cols = []
+    for w in windows:
+        if bounds == "closed":
+            frame = by_time.rangeBetween(-(delay + w) * DAY, -delay * DAY - 1)
+        else:
+            frame = by_time.rangeBetween(-(delay + w) * DAY + 1, -delay * DAY)
+        n = F.coalesce(F.sum("_c").over(frame), F.lit(0)).cast("long")
+        frauds = F.sum("_f").over(frame)
+        cols.append(n.alias(f"{key}_NB_TX_{w}DAY_WINDOW"))
+        cols.append(F.coalesce(F.try_divide(frauds.cast("double"), n), F.lit(0.0)).alias(f"{key}_RISK_{w}DAY_WINDOW"))
+    feats = per.select(key, "_sec", *cols)
+    return (df.withColumn("_sec", cal.epoch_seconds(time_col)).join(feats, [key, "_sec"]).drop("_sec"))
+
+
+def feature_table_hot_keys(df: DataFrame, lookback_days: int | None = 90, delay: int = S.DELAY_DAYS,
+                           windows=S.WINDOWS) -> DataFrame:
+    """The 15-feature table (closed bounds) in the hot-key form; same rows and columns."""
+    if lookback_days is not None:
+        df = lookback(df, lookback_days)
+    df = add_calendar_flags(df)
+    df = spending_per_second(df, windows)
+    df = risk_per_second(df, delay, windows)
+    return fill_numeric_nulls(df)

@@ -174,3 +174,9 @@ FROM customer""")
 def replace_and_fill(spark, sf_dir):
     c = src.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     return feat.fill_numeric_nulls(src.replace_minus_one(c))
+
+
+@query("feature_table_hot_keys", _feature_sql(90))
+def feature_table_hot_keys(spark, sf_dir):
+    """The nightly table in the hot-key form (per-(key, second) pre-aggregation)."""
+    return rounded_features(feat.feature_table_hot_keys(src.transactions(spark, sf_dir), lookback_days=90))
