@@ -108,3 +108,22 @@ def test_hot_key_form_equals_window_form(spark):
 
 def rounded_cols(df):
     return df.select(*[F.round(c, 9).alias(c) if ("_RISK_" in c) else F.col(c) for c in df.columns])
+
+
+def test_hot_key_form_half_open_with_ties(spark):
+    # orders have date-only times: many same-second ties per customer
+    o = src.table(spark, SF01, "orders").select(
+        F.col("o_orderkey").alias(S.TX_ID), F.col("o_custkey").alias(S.CUSTOMER_ID),
+        F.col("o_orderdate").alias(S.TX_DATETIME), F.col("o_totalprice").alias(S.TX_AMOUNT))
+    hot = o.withColumn(S.CUSTOMER_ID, F.when(F.col(S.TX_ID) % 3 == 0, F.lit(1)).otherwise(F.col(S.CUSTOMER_ID)))
+    for bounds in ("closed", "half_open"):
+        a = feat.customer_spending(hot, bounds=bounds)
+        b = feat.spending_per_second(hot, bounds=bounds).select(*a.columns)
+        assert b.count() == a.count() == 15000
+        j = a.alias("a").join(b.alias("b"), S.TX_ID)
+        bad = F.lit(False)
+        for w in S.WINDOWS:
+            n, m = S.customer_nb_tx(w), S.customer_avg_amount(w)
+            bad = bad | (F.col(f"a.{n}") != F.col(f"b.{n}"))
+            bad = bad | (F.abs(F.col(f"a.{m}") - F.col(f"b.{m}")) > 1e-9 * F.abs(F.col(f"a.{m}")))
+        assert j.where(bad).count() == 0 and j.count() == 15000

@@ -143,19 +143,48 @@ def feature_table(df: DataFrame, lookback_days: int | None = 90, delay: int = S.
 # skew join splits the hot key's side of that join.
 
 def spending_per_second(df: DataFrame, windows=S.WINDOWS, key: str = S.CUSTOMER_ID,
-                        time_col: str = S.TX_DATETIME, amount_col: str = S.TX_AMOUNT) -> DataFrame:
-    """W1 (closed) through per-(key, second) pre-aggregation; same columns as ``customer_spending``."""
-    per = df.groupBy(key, cal.epoch_seconds(time_col).alias("_sec")).agg(
+                        time_col: str = S.TX_DATETIME, amount_col: str = S.TX_AMOUNT,
+                        id_col: str = S.TX_ID, bounds: str = "closed") -> DataFrame:
+    """W1/W2 through per-(key, second) pre-aggregation; same columns as ``customer_spending``.
+
+    Half-open: seconds strictly before the row's second within the window come
+    from the per-second table; same-second rows up to the row (id order) come
+    from a window over (key, second), whose size is one second of one key.
+    """
+    _check_bounds(bounds)
+    sec = cal.epoch_seconds(time_col)
+    per = df.groupBy(key, sec.alias("_sec")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(amount_col).alias("_s"), F.count(amount_col).alias("_na"))
     by_time = Window.partitionBy(key).orderBy("_sec")
     cols = []
     for w in windows:
-        frame = by_time.rangeBetween(-w * DAY, 0)
-        cols.append(F.sum("_n").over(frame).alias(f"{key}_NB_TX_{w}DAY_WINDOW"))
-        cols.append(F.try_divide(F.sum("_s").over(frame), F.sum("_na").over(frame))
-                    .alias(f"{key}_AVG_AMOUNT_{w}DAY_WINDOW"))
+        if bounds == "closed":
+            frame = by_time.rangeBetween(-w * DAY, 0)
+            cols.append(F.sum("_n").over(frame).alias(f"_n{w}"))
+        else:
+            frame = by_time.rangeBetween(-w * DAY + 1, -1)
+            cols.append(F.sum("_na").over(frame).alias(f"_n{w}"))
+        cols.append(F.sum("_s").over(frame).alias(f"_s{w}"))
+        cols.append(F.sum("_na").over(frame).alias(f"_na{w}"))
     feats = per.select(key, "_sec", *cols)
-    return (df.withColumn("_sec", cal.epoch_seconds(time_col)).join(feats, [key, "_sec"]).drop("_sec"))
+    rows = df.withColumn("_sec", sec)
+    if bounds == "half_open":
+        upto = Window.partitionBy(key, "_sec").orderBy(id_col).rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumns({"_pn": F.count(amount_col).over(upto),
+                                 "_ps": F.coalesce(F.sum(amount_col).over(upto), F.lit(0.0))})
+    j = rows.join(feats, [key, "_sec"])
+    out = {}
+    for w in windows:
+        if bounds == "closed":
+            n, total, na = F.col(f"_n{w}"), F.col(f"_s{w}"), F.col(f"_na{w}")
+        else:
+            n = F.coalesce(F.col(f"_n{w}"), F.lit(0)) + F.col("_pn")
+            na = n
+            total = F.coalesce(F.col(f"_s{w}"), F.lit(0.0)) + F.col("_ps")
+        out[f"{key}_NB_TX_{w}DAY_WINDOW"] = n.cast("long")
+        out[f"{key}_AVG_AMOUNT_{w}DAY_WINDOW"] = F.try_divide(total, na)
+    helpers = [c for c in j.columns if c.startswith("_")]
+    return j.withColumns(out).drop(*helpers)
 
 
 def risk_per_second(df: DataFrame, delay: int = S.DELAY_DAYS, windows=S.WINDOWS, bounds: str = "closed",
@@ -181,11 +210,11 @@ def risk_per_second(df: DataFrame, delay: int = S.DELAY_DAYS, windows=S.WINDOWS,
 
 
 def feature_table_hot_keys(df: DataFrame, lookback_days: int | None = 90, delay: int = S.DELAY_DAYS,
-                           windows=S.WINDOWS) -> DataFrame:
-    """The 15-feature table (closed bounds) in the hot-key form; same rows and columns."""
+                           windows=S.WINDOWS, bounds: str = "closed") -> DataFrame:
+    """The 15-feature table in the hot-key form; same rows and columns as ``feature_table``."""
     if lookback_days is not None:
         df = lookback(df, lookback_days)
     df = add_calendar_flags(df)
-    df = spending_per_second(df, windows)
-    df = risk_per_second(df, delay, windows)
+    df = spending_per_second(df, windows, bounds=bounds)
+    df = risk_per_second(df, delay, windows, bounds=bounds)
     return fill_numeric_nulls(df)

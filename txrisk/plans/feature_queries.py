@@ -180,3 +180,9 @@ def replace_and_fill(spark, sf_dir):
 def feature_table_hot_keys(spark, sf_dir):
     """The nightly table in the hot-key form (per-(key, second) pre-aggregation)."""
     return rounded_features(feat.feature_table_hot_keys(src.transactions(spark, sf_dir), lookback_days=90))
+
+
+@query("customer_spending_orders_half_open_hot_keys", _spending_sql(Q.ORDERS_TX, "otx", Q.spending_half_open))
+def customer_spending_orders_half_open_hot_keys(spark, sf_dir):
+    """W2 in the hot-key form on the tied `orders` stream."""
+    return _spending_select(feat.spending_per_second(_orders_tx(spark, sf_dir), bounds="half_open"))
