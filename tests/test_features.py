@@ -127,3 +127,15 @@ def test_hot_key_form_half_open_with_ties(spark):
             bad = bad | (F.col(f"a.{n}") != F.col(f"b.{n}"))
             bad = bad | (F.abs(F.col(f"a.{m}") - F.col(f"b.{m}")) > 1e-9 * F.abs(F.col(f"a.{m}")))
         assert j.where(bad).count() == 0 and j.count() == 15000
+
+
+def test_feature_table_switches_form_for_hot_keys(spark):
+    tx = src.transactions(spark, SF01)
+    hot = tx.withColumn(S.TERMINAL_ID, F.when(F.col(S.TX_ID) % 3 == 0, F.lit(7)).otherwise(F.col(S.TERMINAL_ID)))
+    auto = feat.feature_table(hot, lookback_days=None, hot_key_rows=1000)   # terminal 7 has ~3,400 rows
+    direct = feat.feature_table(hot, lookback_days=None, hot_key_rows=None)
+    plan = auto._jdf.queryExecution().optimizedPlan().toString()
+    assert "_sec" in plan
+    r = lambda df: df.select(*[F.round(c, 9).alias(c) if ("_AVG_" in c or "_RISK_" in c) else F.col(c)
+                               for c in direct.columns])
+    assert r(auto).exceptAll(r(direct)).count() == 0

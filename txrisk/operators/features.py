@@ -119,17 +119,33 @@ def lookback(df: DataFrame, days: int = 90, time_col: str = S.TX_DATETIME,
     return df.where(F.col(time_col) > cal.add_days(last, -days))
 
 
+# Rows of one key above which its window family switches to the hot-key form:
+# a window task then holds at most the key's seconds, not its transactions.
+HOT_KEY_ROWS = 20_000_000
+
+
+def largest_key_rows(df: DataFrame, key: str) -> int:
+    """Rows of the most frequent key (a partial-aggregated count; one number to the driver)."""
+    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return int(r or 0)
+
+
 def feature_table(df: DataFrame, lookback_days: int | None = 90, delay: int = S.DELAY_DAYS,
-                  windows=S.WINDOWS, bounds: str = "closed") -> DataFrame:
+                  windows=S.WINDOWS, bounds: str = "closed", hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """The nightly 15-feature table: P1, F1/F2, W1 (or W2), W3 (or W4), P8.
 
-    Two hash exchanges in total: one by CUSTOMER_ID, one by TERMINAL_ID.
+    Even keys: two hash exchanges in total, one by CUSTOMER_ID, one by
+    TERMINAL_ID. When the largest customer or terminal exceeds
+    ``hot_key_rows`` rows, that family is computed in the hot-key form
+    (per-(key, second) pre-aggregation); ``hot_key_rows=None`` skips the check.
     """
     if lookback_days is not None:
         df = lookback(df, lookback_days)
+    hot_c = hot_key_rows is not None and largest_key_rows(df, S.CUSTOMER_ID) > hot_key_rows
+    hot_t = hot_key_rows is not None and largest_key_rows(df, S.TERMINAL_ID) > hot_key_rows
     df = add_calendar_flags(df)
-    df = customer_spending(df, windows, bounds)
-    df = terminal_risk(df, delay, windows, bounds)
+    df = spending_per_second(df, windows, bounds=bounds) if hot_c else customer_spending(df, windows, bounds)
+    df = risk_per_second(df, delay, windows, bounds=bounds) if hot_t else terminal_risk(df, delay, windows, bounds)
     return fill_numeric_nulls(df)
 
 
