@@ -131,3 +131,44 @@ def newly_flagged_counts(tx: DataFrame, incidents: DataFrame, threshold: float =
         F.sum((s2 & ~s1).cast("long")).alias("new_scenario_2"),
         F.sum((s3 & ~s1 & ~s2).cast("long")).alias("new_scenario_3"),
     )
+
+
+# Daily-batch form (fixed values): one compromised terminal for the whole batch,
+# ten compromised customers, half of their transactions picked.
+DAILY_TERMINALS = 1
+DAILY_CUSTOMERS = 10
+DAILY_DIVISOR = 2
+
+
+def label_daily_batch(batch: DataFrame, seed: int = 42, n_terminals: int = DAILY_TERMINALS,
+                      n_customers: int = DAILY_CUSTOMERS, divisor: int = DAILY_DIVISOR,
+                      threshold: float = AMOUNT_THRESHOLD, multiplier: float = AMOUNT_MULTIPLIER) -> DataFrame:
+    """L4 + J7: labels of one batch without incident intervals.
+
+    The compromised entities are the batch's active terminals / customers with
+    the smallest md5(seed:id) (top-n with a partial group limit); membership is
+    a left-semi join; among the compromised customers' rows floor(n / divisor)
+    with the smallest md5(seed:TRANSACTION_ID) are picked (one group, split into
+    hash buckets, so the whole batch never sorts in one task).
+    """
+    from .sampling import top_n_per_group
+    one = F.lit(0).alias("_g")
+    terms = top_n_per_group(batch.select(S.TERMINAL_ID).distinct().select(S.TERMINAL_ID, one), ["_g"],
+                            [md5_key(F.lit(str(seed)), S.TERMINAL_ID), S.TERMINAL_ID], n_terminals)
+    custs = top_n_per_group(batch.select(S.CUSTOMER_ID).distinct().select(S.CUSTOMER_ID, one), ["_g"],
+                            [md5_key(F.lit(str(seed)), S.CUSTOMER_ID), S.CUSTOMER_ID], n_customers)
+    s2 = flag_members(batch, terms, S.TERMINAL_ID).select(S.TX_ID, F.lit(True).alias("_s2"))
+    cand = (flag_members(batch, custs, S.CUSTOMER_ID)
+            .select(S.TX_ID, F.lit(0).alias("_g"), md5_key(F.lit(str(seed)), S.TX_ID).alias("_h")))
+    picked = (lowest_k_per_group(cand, ["_g"], "_h", S.TX_ID, lambda n: F.floor(n / F.lit(divisor)))
+              .select(S.TX_ID, F.lit(True).alias("_s3")))
+    j = batch.join(s2, S.TX_ID, "left").join(picked, S.TX_ID, "left")
+    s3 = F.col("_s3").isNotNull()
+    scenario = (F.when(s3, 3).when(F.col("_s2").isNotNull(), 2)
+                .when(F.col(S.TX_AMOUNT) > F.lit(threshold), 1).otherwise(0))
+    out = j.withColumns({
+        S.TX_AMOUNT: F.when(s3, F.col(S.TX_AMOUNT) * F.lit(multiplier)).otherwise(F.col(S.TX_AMOUNT)),
+        S.TX_FRAUD_SCENARIO: scenario.cast("int"),
+        S.TX_FRAUD: (scenario > 0).cast("int"),
+    })
+    return out.select(*batch.columns)

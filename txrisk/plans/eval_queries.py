@@ -139,3 +139,20 @@ SELECT model, CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((roc_auc - lo) * 10
 FROM boot, rng GROUP BY ALL""")
 def score_histogram(spark, sf_dir):
     return bs.histogram(_boot(spark, sf_dir), bins=10)
+
+
+@query("champion_challenger_stats", f"""WITH {Q.TX}, {SCORES_SQL}, {BOOT_SQL},
+st AS (SELECT model, count(*) AS n, avg(roc_auc) AS m, var_samp(roc_auc) AS v FROM boot GROUP BY model),
+champ AS (SELECT * FROM st WHERE model = 'raw_amount'),
+chall AS (SELECT * FROM st WHERE model = 'amount')
+SELECT round(champ.m + 1e-9, 6) AS mean_auc_champion, round(chall.m + 1e-9, 6) AS mean_auc_challenger,
+       round((champ.m - chall.m) / sqrt(((champ.n - 1) * champ.v + (chall.n - 1) * chall.v) / (champ.n + chall.n - 2)
+             * (1.0 / champ.n + 1.0 / chall.n)) + 1e-9, 4) AS t_stat,
+       CAST(champ.n + chall.n - 2 AS DOUBLE) AS dof
+FROM champ, chall""")
+def champion_challenger_stats(spark, sf_dir):
+    """The t-test inputs of the decision (means, t, degrees of freedom)."""
+    t = bs.t_test(_boot(spark, sf_dir), champion="raw_amount", challenger="amount")
+    return t.select(stable_round(F.col("mean_auc_champion")).alias("mean_auc_champion"),
+                    stable_round(F.col("mean_auc_challenger")).alias("mean_auc_challenger"),
+                    stable_round(F.col("t_stat"), 4).alias("t_stat"), "dof")

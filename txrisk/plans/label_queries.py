@@ -226,3 +226,30 @@ def rebased_batch(spark, sf_dir):
                        (F.col(S.TX_TIME_SECONDS) - last_day * 86400).alias(S.TX_TIME_SECONDS),
                        F.lit(0).cast("long").alias(S.TX_TIME_DAYS))
     return ids.rebase(batch, hist).select("ORIG_ID", S.TX_ID, S.TX_TIME_SECONDS, S.TX_TIME_DAYS)
+
+
+@query("label_daily_batch", f"""WITH {Q.TX},
+batch AS (SELECT * FROM tx WHERE TX_TIME_DAYS = (SELECT max(TX_TIME_DAYS) FROM tx)),
+terms AS (SELECT TERMINAL_ID FROM (SELECT DISTINCT TERMINAL_ID FROM batch)
+          ORDER BY {md5_key_sql("'42'", 'TERMINAL_ID')}, TERMINAL_ID LIMIT 1),
+custs AS (SELECT CUSTOMER_ID FROM (SELECT DISTINCT CUSTOMER_ID FROM batch)
+          ORDER BY {md5_key_sql("'42'", 'CUSTOMER_ID')}, CUSTOMER_ID LIMIT 10),
+cand AS (SELECT TRANSACTION_ID, row_number() OVER (ORDER BY {md5_key_sql("'42'", 'TRANSACTION_ID')}, TRANSACTION_ID) AS rn,
+                count(*) OVER () AS n
+         FROM batch WHERE CUSTOMER_ID IN (SELECT CUSTOMER_ID FROM custs)),
+picked AS (SELECT TRANSACTION_ID FROM cand WHERE rn <= floor(n / 2)),
+lab AS (
+  SELECT b.TRANSACTION_ID,
+         CASE WHEN p.TRANSACTION_ID IS NOT NULL THEN b.TX_AMOUNT * 5 ELSE b.TX_AMOUNT END AS TX_AMOUNT,
+         CAST(CASE WHEN p.TRANSACTION_ID IS NOT NULL THEN 3
+                   WHEN b.TERMINAL_ID IN (SELECT TERMINAL_ID FROM terms) THEN 2
+                   WHEN b.TX_AMOUNT > 220 THEN 1 ELSE 0 END AS INTEGER) AS TX_FRAUD_SCENARIO
+  FROM batch b LEFT JOIN picked p ON b.TRANSACTION_ID = p.TRANSACTION_ID
+)
+SELECT TRANSACTION_ID, round(TX_AMOUNT + 1e-9, 6) AS TX_AMOUNT, CAST(TX_FRAUD_SCENARIO > 0 AS INTEGER) AS TX_FRAUD,
+       TX_FRAUD_SCENARIO FROM lab""")
+def label_daily_batch(spark, sf_dir):
+    """The newest day labelled as one daily batch (1 terminal, 10 customers, one half)."""
+    batch = src.latest_partition(_tx(spark, sf_dir))
+    out = lab.label_daily_batch(batch, seed=42)
+    return out.select(S.TX_ID, stable_round(F.col(S.TX_AMOUNT)).alias(S.TX_AMOUNT), S.TX_FRAUD, S.TX_FRAUD_SCENARIO)

@@ -62,7 +62,8 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "parquet",
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", "true").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-    df = reader.format(fmt).load(path)
+    # Partition folders (e.g. TX_DATE=...) add discovered columns; keep the declared ones.
+    df = reader.format(fmt).load(path).select(*schema.names)
     return replace_minus_one(df) if clean else df
 
 
