@@ -124,10 +124,14 @@ def lookback(df: DataFrame, days: int = 90, time_col: str = S.TX_DATETIME,
 HOT_KEY_ROWS = 20_000_000
 
 
-def largest_key_rows(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key (a partial-aggregated count; one number to the driver)."""
-    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(r or 0)
+def largest_key_rows(df: DataFrame, keys: list[str]) -> dict[str, int]:
+    """Rows of the most frequent value of each key, in ONE job: a grouping-sets
+    count (partial aggregation before the shuffle), then the max per key. Only
+    one number per key reaches the driver."""
+    counts = df.groupingSets([[k] for k in keys], *keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.grouping(k).alias(f"_g_{k}") for k in keys])
+    row = counts.agg(*[F.max(F.when(F.col(f"_g_{k}") == 0, F.col("_n"))).alias(k) for k in keys]).first()
+    return {k: int(row[k] or 0) for k in keys}
 
 
 def feature_table(df: DataFrame, lookback_days: int | None = 90, delay: int = S.DELAY_DAYS,
@@ -141,8 +145,10 @@ def feature_table(df: DataFrame, lookback_days: int | None = 90, delay: int = S.
     """
     if lookback_days is not None:
         df = lookback(df, lookback_days)
-    hot_c = hot_key_rows is not None and largest_key_rows(df, S.CUSTOMER_ID) > hot_key_rows
-    hot_t = hot_key_rows is not None and largest_key_rows(df, S.TERMINAL_ID) > hot_key_rows
+    hot_c = hot_t = False
+    if hot_key_rows is not None:
+        top = largest_key_rows(df, [S.CUSTOMER_ID, S.TERMINAL_ID])
+        hot_c, hot_t = top[S.CUSTOMER_ID] > hot_key_rows, top[S.TERMINAL_ID] > hot_key_rows
     df = add_calendar_flags(df)
     df = spending_per_second(df, windows, bounds=bounds) if hot_c else customer_spending(df, windows, bounds)
     df = risk_per_second(df, delay, windows, bounds=bounds) if hot_t else terminal_risk(df, delay, windows, bounds)
