@@ -1,6 +1,8 @@
 import datetime as dt
 import uuid
 
+from pyspark.sql import functions as F
+
 from conftest import tx_frame
 from txrisk import schema as S
 from txrisk.functions import messages as M
@@ -33,3 +35,32 @@ def test_topic_audit(spark):
     recs = spark.createDataFrame([("p", 0, 5), ("p", 0, 6), ("p", 1, 2)], "topic string, partition int, offset long")
     out = {(r.partition): (r.n_messages, r.min_offset, r.max_offset) for r in st.topic_audit(recs).collect()}
     assert out == {0: (2, 5, 6), 1: (1, 2, 2)}
+
+
+def test_snapshot_refresh_is_seen_between_batches(spark):
+    """The processed table is re-read for every micro-batch: a customer that only
+    appears in the refreshed table is rejected in batch 0 and scored in batch 1."""
+    D = dt.datetime(2024, 1, 1)
+    old = [(i, D + dt.timedelta(hours=i), 1, 1, 10.0 + i, 0) for i in range(5)]
+    new = old + [(100, D + dt.timedelta(hours=6), 2, 1, 50.0, 0)]
+    base = scratch_path(spark, f"test-refresh-{uuid.uuid4().hex}")
+    processed_old = feat.feature_table(tx_frame(spark, old), lookback_days=None)
+    processed_new = feat.feature_table(tx_frame(spark, new), lookback_days=None)
+    model = md.fit(processed_new, {"numTrees": 2, "maxDepth": 2})
+    req = tx_frame(spark, [(200, D + dt.timedelta(days=1), 2, 1, 5.0, 0)]).select(*S.MESSAGE_FIELDS)
+    msgs = M.encode_raw_messages(req)
+    msgs.coalesce(1).write.json(f"{base}/in/a")
+    msgs.withColumn("key", F.lit("201")).coalesce(1).write.json(f"{base}/in/b")
+    calls = []
+
+    def load():
+        calls.append(1)
+        return processed_old if len(calls) == 1 else processed_new
+
+    stream = (spark.readStream.schema(st.MESSAGE_SCHEMA).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").json(f"{base}/in"))
+    q = st.start_scoring(stream, load, model, f"{base}/out", f"{base}/ckpt")
+    q.awaitTermination()
+    rejected = spark.read.parquet(f"{base}/out/rejected").count()
+    scored = spark.read.parquet(f"{base}/out/predictions").count()
+    assert len(calls) == 2 and rejected == 1 and scored == 1

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import schema as S
 from ..functions import messages as M
 from ..operators import snapshot as snap
+from ..operators.model import probability_of_one
 
 MESSAGE_SCHEMA = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 PREDICTION_FIELDS = [S.TX_ID, S.TX_DATETIME, S.CUSTOMER_ID, S.TERMINAL_ID, "prediction", "probability"]
@@ -59,8 +60,7 @@ def score_batch(messages: DataFrame, processed: DataFrame, model: PipelineModel,
     cust, term = snap.customer_snapshot(processed, scope), snap.terminal_snapshot(processed, scope)
     enriched = snap.enrich(requests, cust, term, how="inner")
     scored = model.transform(enriched.withColumn(S.TX_FRAUD, F.col(S.TX_FRAUD).cast("double")))
-    from pyspark.ml.functions import vector_to_array
-    out = scored.withColumn("probability", vector_to_array("probability")[1]).withColumn(
+    out = scored.withColumn("probability", probability_of_one("probability")).withColumn(
         "prediction", F.col("prediction").cast("int"))
     return out.select(*PREDICTION_FIELDS), snap.rejected(requests, cust, term), dead.select("key", "value")
 
