@@ -95,9 +95,12 @@ def label_transactions(tx: DataFrame, incidents: DataFrame, threshold: float = A
                        multiplier: float = AMOUNT_MULTIPLIER,
                        divisor: int = CUSTOMER_FRACTION_DIVISOR) -> DataFrame:
     """Final TX_FRAUD, TX_FRAUD_SCENARIO and TX_AMOUNT of every row."""
-    t_hit = terminal_hits(tx, incidents).select(S.TX_ID, F.lit(True).alias("_s2"))
+    # Terminal flag straight from the (terminal, day) cells - a table bounded by
+    # incidents x n_days - so the transactions are not re-joined on their id.
+    t_cells = (_incident_cells(incidents, "terminal", S.TERMINAL_ID).select(S.TERMINAL_ID, S.TX_TIME_DAYS)
+               .distinct().withColumn("_s2", F.lit(True)))
     c_hit = customer_hits(tx, incidents, divisor)
-    j = tx.join(t_hit, S.TX_ID, "left").join(c_hit, S.TX_ID, "left")
+    j = tx.join(t_cells, [S.TERMINAL_ID, S.TX_TIME_DAYS], "left").join(c_hit, S.TX_ID, "left")
     hits = F.coalesce(F.col("n_hits"), F.lit(0))
     scenario = (F.when(hits > 0, 3).when(F.col("_s2").isNotNull(), 2)
                 .when(F.col(S.TX_AMOUNT) > F.lit(threshold), 1).otherwise(0))
@@ -120,9 +123,10 @@ def newly_flagged_counts(tx: DataFrame, incidents: DataFrame, threshold: float =
     Scenario 2 counts rows it turns from genuine to fraud; scenario 3 counts
     rows it turns from genuine to fraud after scenarios 1 and 2.
     """
-    t_hit = terminal_hits(tx, incidents).select(S.TX_ID, F.lit(1).alias("_s2"))
+    t_cells = (_incident_cells(incidents, "terminal", S.TERMINAL_ID).select(S.TERMINAL_ID, S.TX_TIME_DAYS)
+               .distinct().withColumn("_s2", F.lit(1)))
     c_hit = customer_hits(tx, incidents).select(S.TX_ID, F.lit(1).alias("_s3"))
-    j = tx.join(t_hit, S.TX_ID, "left").join(c_hit, S.TX_ID, "left")
+    j = tx.join(t_cells, [S.TERMINAL_ID, S.TX_TIME_DAYS], "left").join(c_hit, S.TX_ID, "left")
     s1 = F.col(S.TX_AMOUNT) > F.lit(threshold)
     s2 = F.col("_s2").isNotNull()
     s3 = F.col("_s3").isNotNull()
