@@ -108,6 +108,67 @@ def tree_shap(x: np.ndarray, tree: dict, n_features: int) -> np.ndarray:
     return phi
 
 
+def _extend_v(d, z, o, w, pz, po, pi, n_rows):
+    """EXTEND with per-row arrays for the one fractions and the weights."""
+    l = len(d)
+    d, z = d + [pi], z + [pz]
+    o = o + [np.broadcast_to(np.asarray(po, dtype=float), (n_rows,)).copy()]
+    w = [x.copy() for x in w] + [np.ones(n_rows) if l == 0 else np.zeros(n_rows)]
+    for i in range(l - 1, -1, -1):
+        w[i + 1] += o[l] * w[i] * (i + 1) / (l + 1)
+        w[i] = pz * w[i] * (l - i) / (l + 1)
+    return d, z, o, w
+
+
+def _unwind_v(d, z, o, w, i):
+    """UNWIND with per-row arrays; rows whose one fraction is 0 take the other branch."""
+    l = len(d) - 1
+    oi, zi = o[i], z[i]
+    hot = oi != 0
+    safe_o = np.where(hot, oi, 1.0)
+    n = w[l].copy()
+    out = [None] * l
+    for j in range(l - 1, -1, -1):
+        a = n * (l + 1) / ((j + 1) * safe_o)
+        b = w[j] * (l + 1) / (zi * (l - j)) if zi != 0 else np.zeros_like(n)
+        n = np.where(hot, w[j] - a * zi * (l - j) / (l + 1), n)
+        out[j] = np.where(hot, a, b)
+    return d[:i] + d[i + 1:], z[:i] + z[i + 1:], o[:i] + o[i + 1:], out
+
+
+def tree_shap_batch(X: np.ndarray, tree: dict, n_features: int) -> np.ndarray:
+    """Contributions of one tree for a batch of rows (n_rows x n_features).
+
+    Within a tree the recursion path (features, zero fractions) is the same
+    for every row; only the 0/1 one fractions and the weights differ, so the
+    recursion runs once per tree over arrays of rows.
+    """
+    n_rows = X.shape[0]
+    phi = np.zeros((n_rows, n_features))
+    left, right, feat, thr, cover, value = (tree[k] for k in ("left", "right", "feature", "threshold", "cover", "value"))
+
+    def rec(j, d, z, o, w, pz, po, pi):
+        d, z, o, w = _extend_v(d, z, o, w, pz, po, pi, n_rows)
+        if left[j] < 0:
+            for i in range(1, len(d)):
+                _, _, _, uw = _unwind_v(d, z, o, w, i)
+                phi[:, d[i]] += np.sum(uw, axis=0) * (o[i] - z[i]) * value[j]
+            return
+        f = feat[j]
+        xv = X[:, f]
+        goes_left = (~np.isnan(xv)) & (xv <= thr[j])
+        iz, io = 1.0, np.ones(n_rows)
+        if f in d[1:]:
+            k = d.index(f, 1)
+            iz, io = z[k], o[k]
+            d, z, o, w = _unwind_v(d, z, o, w, k)
+        rec(left[j], d, z, o, w, iz * cover[left[j]] / cover[j], io * goes_left, f)
+        rec(right[j], d, z, o, w, iz * cover[right[j]] / cover[j], io * ~goes_left, f)
+
+    rec(0, [], [], [], [], 1.0, 1.0, -1)
+    return phi
+
+
 def expected_value(tree: dict) -> float:
     """Cover-weighted mean of the leaf values."""
     leaves = tree["left"] < 0
@@ -129,11 +190,10 @@ def contributions(df: DataFrame, trees: list[dict], features: list[str], id_col:
         for pdf in batches:
             x = pdf[features].to_numpy(dtype=float)
             phis = np.zeros((len(pdf), nf))
-            for r in range(len(pdf)):
-                acc = np.zeros(nf)
+            if len(pdf):
                 for t in ts:
-                    acc += tree_shap(x[r], t, nf)
-                phis[r] = acc / len(ts)
+                    phis += tree_shap_batch(x, t, nf)
+                phis /= len(ts)
             out = pd.DataFrame({id_col: pdf[id_col].to_numpy(), "base_value": base})
             for k, f in enumerate(features):
                 out[f"shap_{f}"] = phis[:, k]
