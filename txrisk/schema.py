@@ -83,3 +83,22 @@ RUN = T.StructType([
     T.StructField("p_value", T.DoubleType()),
     T.StructField("decision", T.StringType()),
 ])
+
+# Declared schemas of the driver's tables this package reads (no inference job per read).
+INPUT_TABLES = {
+    "events": T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())]),
+    "orders": T.StructType([
+        T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType())]),
+    "customer": T.StructType([
+        T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+        T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+        T.StructField("c_mktsegment", T.StringType())]),
+    "supplier": T.StructType([
+        T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()),
+        T.StructField("s_nationkey", T.IntegerType()), T.StructField("s_acctbal", T.DoubleType())]),
+}

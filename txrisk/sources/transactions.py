@@ -20,7 +20,11 @@ AMOUNT_THRESHOLD = 220.0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One input table; declared schemas (``schema.INPUT_TABLES``) skip the inference job."""
+    reader = spark.read
+    if name in S.INPUT_TABLES:
+        reader = reader.schema(S.INPUT_TABLES[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events_to_transactions(events: DataFrame, origin: str = EVENTS_ORIGIN,
