@@ -69,3 +69,16 @@ def test_csv_round_trip(spark):
     sinks.write_daily(tx, path, fmt="csv")
     back = src.read_transactions(spark, path, fmt="csv")
     assert sorted(back.collect()) == sorted(tx.collect())
+
+
+def test_read_latest_day_and_lookback_prune(spark):
+    path = scratch_path(spark, f"test-latest-{uuid.uuid4().hex}")
+    rows = _rows(1, 2, 0) + _rows(5, 3, 10) + _rows(9, 2, 20)
+    sinks.write_daily(tx_frame(spark, rows), path)
+    assert sinks.partition_values(spark, path) == ["2024-01-01", "2024-01-05", "2024-01-09"]
+    latest = sinks.read_latest_day(spark, path, S.RAW_TRANSACTION)
+    assert sorted(r[S.TX_ID] for r in latest.collect()) == [20, 21]
+    assert "PartitionFilters: [isnotnull(TX_DATE" in latest._jdf.queryExecution().executedPlan().toString()
+    lb = sinks.read_lookback(spark, path, 4)  # last = 01-09 02:00 -> keep > 01-05 02:00
+    assert sorted(r[S.TX_ID] for r in lb.collect()) == [12, 20, 21]
+    assert "PartitionFilters" in lb._jdf.queryExecution().executedPlan().toString()

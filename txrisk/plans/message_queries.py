@@ -109,3 +109,15 @@ SELECT TRANSACTION_ID, TX_TIME_DAYS FROM tx WHERE TX_TIME_DAYS = (SELECT max(TX_
 def latest_day_rows(spark, sf_dir):
     """Rows of the newest day."""
     return src.latest_partition(src.transactions(spark, sf_dir)).select(S.TX_ID, S.TX_TIME_DAYS)
+
+
+@query("lookback_from_partitions", f"""
+WITH {Q.TX},
+last AS (SELECT arg_max(TX_DATETIME, TRANSACTION_ID) AS t FROM tx)
+SELECT tx.TRANSACTION_ID, tx.TX_DATETIME, tx.CUSTOMER_ID FROM tx, last
+WHERE tx.TX_DATETIME > last.t - INTERVAL 14 DAY""")
+def lookback_from_partitions(spark, sf_dir):
+    """S5 + S1 + P1: write day folders, then read back only the 14-day lookback (partition pruning)."""
+    path = scratch_path(spark, f"lookback-{uuid.uuid4().hex}")
+    sinks.write_daily(src.transactions(spark, sf_dir), path)
+    return sinks.read_lookback(spark, path, 14).select(S.TX_ID, S.TX_DATETIME, S.CUSTOMER_ID)
