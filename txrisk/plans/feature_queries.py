@@ -186,3 +186,20 @@ def feature_table_hot_keys(spark, sf_dir):
 def customer_spending_orders_half_open_hot_keys(spark, sf_dir):
     """W2 in the hot-key form on the tied `orders` stream."""
     return _spending_select(feat.spending_per_second(_orders_tx(spark, sf_dir), bounds="half_open"))
+
+
+@query("nightly_features_job", _feature_sql(90))
+def nightly_features_job(spark, sf_dir):
+    """The nightly job end to end: raw day folders -> pruned lookback -> features -> processed day folders."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources import sinks
+    from .jobs import nightly_features, read_processed
+    base = scratch_path(spark, f"nightly-{uuid.uuid4().hex}")
+    sinks.write_daily(src.transactions(spark, sf_dir), f"{base}/raw")
+    nightly_features(spark, f"{base}/raw", f"{base}/processed", lookback_days=90)
+    return rounded_features(read_processed(spark, f"{base}/processed").select(*_PROCESSED_COLS))
+
+
+_PROCESSED_COLS = S.PROCESSED_TRANSACTION.names
