@@ -52,9 +52,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not path:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="txrisk-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - some sessions reject core configs at runtime
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
