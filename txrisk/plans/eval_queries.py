@@ -32,13 +32,13 @@ scores AS (
 def scores(spark, sf_dir):
     """(model, row_id, label, score): labels from the rules; two amount-based scorers."""
     tx = src.transactions(spark, sf_dir)
-    labeled = lab.label_transactions(tx, lab.incidents_by_rule(tx))
-    a = labeled.select(F.lit("amount").alias("model"), F.col(S.TX_ID).alias("row_id"),
-                       F.col(S.TX_FRAUD).alias("label"), F.col(S.TX_AMOUNT).alias("score"))
-    raw = labeled.select(S.TX_ID, S.TX_FRAUD).join(tx.select(S.TX_ID, S.TX_AMOUNT), S.TX_ID).select(
-        F.lit("raw_amount").alias("model"), F.col(S.TX_ID).alias("row_id"),
-        F.col(S.TX_FRAUD).alias("label"), F.col(S.TX_AMOUNT).alias("score"))
-    return a.unionByName(raw)
+    # The raw amount rides along through the labelling (no re-join on the id).
+    labeled = lab.label_transactions(tx.withColumn("RAW_AMOUNT", F.col(S.TX_AMOUNT)), lab.incidents_by_rule(tx))
+    both = labeled.select(F.col(S.TX_ID).alias("row_id"), F.col(S.TX_FRAUD).alias("label"),
+                          F.explode(F.array(F.struct(F.lit("amount").alias("model"), F.col(S.TX_AMOUNT).alias("score")),
+                                            F.struct(F.lit("raw_amount").alias("model"),
+                                                     F.col("RAW_AMOUNT").alias("score")))).alias("_m"))
+    return both.select("_m.model", "row_id", "label", "_m.score")
 
 
 def _midrank_auc_sql(src_name: str, group: str) -> str:
