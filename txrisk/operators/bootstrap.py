@@ -51,7 +51,7 @@ def bootstrap_auc(scores: DataFrame, replicates: int = REPLICATES, seed: int = 4
                .groupBy(model_col, "_j", "replicate").agg(F.count(F.lit(1)).alias("_w")))
     picked = weights.join(rows.select(model_col, F.col("_i").alias("_j"), label_col, score_col), [model_col, "_j"])
     return roc_auc(picked, label_col, score_col, group_cols=[model_col, "replicate"], weight_col="_w",
-                   cuts_from=scores.select(score_col), materialize=True)
+                   cuts_from=rows.select(score_col), materialize=True)
 
 
 def replicate_stats(aucs: DataFrame, model_col: str = "model") -> DataFrame:
