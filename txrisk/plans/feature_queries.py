@@ -203,3 +203,30 @@ def nightly_features_job(spark, sf_dir):
 
 
 _PROCESSED_COLS = S.PROCESSED_TRANSACTION.names
+
+
+def _feature_sql_half_open(lookback_days: int) -> str:
+    joins, cols = [], []
+    for w in W:
+        joins.append(f"JOIN ({Q.spending_half_open('lb', w)}) s{w} ON s{w}.TRANSACTION_ID = a.TRANSACTION_ID")
+        joins.append(f"JOIN ({Q.risk('lb', S.DELAY_DAYS, w, False)}) r{w} ON r{w}.TRANSACTION_ID = a.TRANSACTION_ID")
+    for w in W:
+        cols.append(f"s{w}.n AS CUSTOMER_ID_NB_TX_{w}DAY_WINDOW, round(s{w}.m + 1e-9, 6) AS CUSTOMER_ID_AVG_AMOUNT_{w}DAY_WINDOW")
+    for w in W:
+        cols.append(f"r{w}.n AS TERMINAL_ID_NB_TX_{w}DAY_WINDOW, round(r{w}.r + 1e-9, 6) AS TERMINAL_ID_RISK_{w}DAY_WINDOW")
+    return f"""
+WITH {Q.TX},
+last AS (SELECT arg_max(TX_DATETIME, TRANSACTION_ID) AS t FROM tx),
+lb AS (SELECT tx.* FROM tx, last WHERE tx.TX_DATETIME > last.t - INTERVAL {lookback_days} DAY)
+SELECT a.TRANSACTION_ID, a.TX_DATETIME, a.CUSTOMER_ID, a.TERMINAL_ID, a.TX_AMOUNT,
+       a.TX_TIME_SECONDS, a.TX_TIME_DAYS, a.TX_FRAUD, a.TX_FRAUD_SCENARIO,
+       CAST(dayofweek(a.TX_DATETIME) IN (0, 6) AS INTEGER) AS TX_DURING_WEEKEND,
+       CAST(hour(a.TX_DATETIME) <= 6 AS INTEGER) AS TX_DURING_NIGHT,
+       {', '.join(cols)}
+FROM lb a {' '.join(joins)}"""
+
+
+@query("feature_table_half_open", _feature_sql_half_open(90))
+def feature_table_half_open(spark, sf_dir):
+    """The 15-feature table with the half-open (pandas-rolling) bounds the training path uses."""
+    return rounded_features(feat.feature_table(src.transactions(spark, sf_dir), lookback_days=90, bounds="half_open"))
