@@ -139,3 +139,20 @@ def test_feature_table_switches_form_for_hot_keys(spark):
     r = lambda df: df.select(*[F.round(c, 9).alias(c) if ("_AVG_" in c or "_RISK_" in c) else F.col(c)
                                for c in direct.columns])
     assert r(auto).exceptAll(r(direct)).count() == 0
+
+
+def test_feature_table_half_open_switches_form_for_hot_keys(spark):
+    tx = src.transactions(spark, SF01)
+    hot = tx.withColumn(S.CUSTOMER_ID, F.when(F.col(S.TX_ID) % 3 == 0, F.lit(5)).otherwise(F.col(S.CUSTOMER_ID)))
+    auto = feat.feature_table(hot, lookback_days=None, bounds="half_open", hot_key_rows=1000)
+    direct = feat.feature_table(hot, lookback_days=None, bounds="half_open", hot_key_rows=None)
+    j = auto.alias("a").join(direct.alias("d"), S.TX_ID)
+    bad = F.lit(False)
+    for c in direct.columns:
+        if c == S.TX_ID:
+            continue
+        if "_AVG_" in c or "_RISK_" in c:
+            bad = bad | (F.abs(F.col(f"a.{c}") - F.col(f"d.{c}")) > 1e-9 * (F.abs(F.col(f"d.{c}")) + 1))
+        else:
+            bad = bad | ~F.col(f"a.{c}").eqNullSafe(F.col(f"d.{c}"))
+    assert j.count() == 10000 and j.where(bad).count() == 0
