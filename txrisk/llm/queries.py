@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, licenses, quality, token_counts
+from . import bpe, chat, decontaminate, html_text, licenses, quality, substring_dedup, token_counts
 from .common import table
 
 
@@ -28,21 +28,36 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_limit(token_counts.count_tokens(docs, path, keep=["doc_id"]))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digests(bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN, keep=["doc_id"]))
 
 
+def op8_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.judged(docs, keep=["doc_id"])
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup(docs, keep=["doc_id"]).withColumnRenamed("clean", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_license_scan, op3_token_counts, op7_bpe, op9_quality_rules)}
+    return {f.__name__: f for f in (op1_decontamination, op2_license_scan, op3_token_counts, op4_html_text, op7_bpe,
+                                   op8_chat_perspectives, op9_quality_rules, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_decontamination": decontaminate.ORACLE.strip(),
-            "op2_license_scan": licenses.oracle().strip()}
+            "op2_license_scan": licenses.oracle().strip(),
+            "op8_chat_perspectives": chat.ORACLE.strip()}
