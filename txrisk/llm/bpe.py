@@ -168,10 +168,10 @@ def encode_and_decode(df: DataFrame, path: str, pattern: str, text_col: str = "t
     return map_texts(df, text_col, df.columns if keep is None else keep, "ids array<int>, decoded string", make)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded rows."""
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded rows, and the columns ``more``."""
     return encoded.select(
-        "doc_id",
+        "doc_id", *more,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

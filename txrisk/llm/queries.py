@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, html_text, jaccard_join, licenses, quality, substring_dedup, token_counts
+from . import bpe, chat, decontaminate, html_text, jaccard_join, language_model, licenses, quality, substring_dedup, token_counts
 from .common import table
 
 
@@ -32,6 +32,11 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return language_model.score(docs, keep=["doc_id"])
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.join_classes(docs, keep=["doc_id"])
@@ -58,7 +63,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_license_scan, op3_token_counts, op4_html_text, op6_jaccard_join, op7_bpe,
+    return {f.__name__: f for f in (op1_decontamination, op2_license_scan, op3_token_counts, op4_html_text, op5_language_model, op6_jaccard_join, op7_bpe,
                                    op8_chat_perspectives, op9_quality_rules, op10_substring_dedup)}
 
 
