@@ -75,13 +75,14 @@ def test_window_properties(spark):
     assert bad.count() == 0
 
 
-def test_feature_plan_has_two_exchanges_and_no_range_exchange(spark):
+def test_feature_plan_moves_rows_once_per_family_and_has_no_range_exchange(spark):
     ft = feat.feature_table(src.transactions(spark, SF01), lookback_days=None)
     plan = ft._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert "rangepartitioning" not in plan
+    # Per family: the rows and the small day totals by (key, day), the totals by key.
+    assert plan.count("Exchange hashpartitioning") == 6
+    assert "rangepartitioning" not in plan and "Join" not in plan
     half = feat.customer_spending(src.transactions(spark, SF01), bounds="half_open")
-    assert half._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert half._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
 
 
 def test_scan_prunes_columns(spark):
@@ -90,69 +91,68 @@ def test_scan_prunes_columns(spark):
     assert "event_type" not in plan
 
 
-def test_hot_key_form_equals_window_form(spark):
-    tx = src.transactions(spark, SF01)
-    # make one terminal hold a third of all rows
-    hot = tx.withColumn(S.TERMINAL_ID, F.when(F.col(S.TX_ID) % 3 == 0, F.lit(7)).otherwise(F.col(S.TERMINAL_ID)))
-    a = feat.feature_table(hot, lookback_days=90)
-    b = feat.feature_table_hot_keys(hot, lookback_days=90)
-    cols = a.columns
-    def rounded(df):
-        return df.select(*[F.round(c, 9).alias(c) if ("_AVG_" in c or "_RISK_" in c) else F.col(c) for c in cols])
-    assert b.count() == a.count() == 10000
-    assert rounded(a).exceptAll(rounded(b)).count() == 0
-    half_a = feat.terminal_risk(hot, bounds="half_open")
-    half_b = feat.risk_per_second(hot, bounds="half_open").select(*half_a.columns)
-    assert rounded_cols(half_a).exceptAll(rounded_cols(half_b)).count() == 0
-
-
-def rounded_cols(df):
-    return df.select(*[F.round(c, 9).alias(c) if ("_RISK_" in c) else F.col(c) for c in df.columns])
-
-
-def test_hot_key_form_half_open_with_ties(spark):
-    # orders have date-only times: many same-second ties per customer
-    o = src.table(spark, SF01, "orders").select(
-        F.col("o_orderkey").alias(S.TX_ID), F.col("o_custkey").alias(S.CUSTOMER_ID),
-        F.col("o_orderdate").alias(S.TX_DATETIME), F.col("o_totalprice").alias(S.TX_AMOUNT))
-    hot = o.withColumn(S.CUSTOMER_ID, F.when(F.col(S.TX_ID) % 3 == 0, F.lit(1)).otherwise(F.col(S.CUSTOMER_ID)))
-    for bounds in ("closed", "half_open"):
-        a = feat.customer_spending(hot, bounds=bounds)
-        b = feat.spending_per_second(hot, bounds=bounds).select(*a.columns)
-        assert b.count() == a.count() == 15000
-        j = a.alias("a").join(b.alias("b"), S.TX_ID)
-        bad = F.lit(False)
-        for w in S.WINDOWS:
-            n, m = S.customer_nb_tx(w), S.customer_avg_amount(w)
-            bad = bad | (F.col(f"a.{n}") != F.col(f"b.{n}"))
-            bad = bad | (F.abs(F.col(f"a.{m}") - F.col(f"b.{m}")) > 1e-9 * F.abs(F.col(f"a.{m}")))
-        assert j.where(bad).count() == 0 and j.count() == 15000
-
-
-def test_feature_table_switches_form_for_hot_keys(spark):
+def _sliding(df, bounds):
+    """Both families by Spark's sliding RANGE frames (quadratic; for comparison only)."""
+    from pyspark.sql import Window
+    sec = F.unix_timestamp(S.TX_DATETIME)
+    day = 86400
+    out = [S.TX_ID]
+    for w in S.WINDOWS:
+        frame = Window.partitionBy(S.CUSTOMER_ID).orderBy(sec).rangeBetween(-w * day, 0)
+        out += [F.count(F.lit(1)).over(frame).alias(S.customer_nb_tx(w)),
+                F.avg(S.TX_AMOUNT).over(frame).alias(S.customer_avg_amount(w))]
+        lo = -(7 + w) * day + (bounds == "half_open")
+        hi = -7 * day - (bounds == "closed")
+        frame = Window.partitionBy(S.TERMINAL_ID).orderBy(sec).rangeBetween(lo, hi)
+        n = F.count(S.TX_FRAUD).over(frame)
+        out += [n.alias(S.terminal_nb_tx(w)),
+                F.coalesce(F.try_divide(F.sum(S.TX_FRAUD).over(frame).cast("double"), n), F.lit(0.0))
+                .alias(S.terminal_risk(w))]
+    return df.select(*out)
+
+
+def test_hot_keys_equal_sliding_frames(spark):
+    # one terminal and one customer hold a third of all rows
     tx = src.transactions(spark, SF01)
-    hot = tx.withColumn(S.TERMINAL_ID, F.when(F.col(S.TX_ID) % 3 == 0, F.lit(7)).otherwise(F.col(S.TERMINAL_ID)))
-    auto = feat.feature_table(hot, lookback_days=None, hot_key_rows=1000)   # terminal 7 has ~3,400 rows
-    direct = feat.feature_table(hot, lookback_days=None, hot_key_rows=None)
-    plan = auto._jdf.queryExecution().optimizedPlan().toString()
-    assert "_sec" in plan
-    r = lambda df: df.select(*[F.round(c, 9).alias(c) if ("_AVG_" in c or "_RISK_" in c) else F.col(c)
-                               for c in direct.columns])
-    assert r(auto).exceptAll(r(direct)).count() == 0
+    hot = tx.withColumn(S.TERMINAL_ID, F.when(F.col(S.TX_ID) % 3 == 0, F.lit(7)).otherwise(F.col(S.TERMINAL_ID))) \
+        .withColumn(S.CUSTOMER_ID, F.when(F.col(S.TX_ID) % 3 == 1, F.lit(5)).otherwise(F.col(S.CUSTOMER_ID)))
+    assert _differing(feat.feature_table(hot, lookback_days=None), _sliding(hot, "closed")) == (10000, 0)
+    half = feat.terminal_risk(hot, bounds="half_open")
+    want = _sliding(hot, "half_open")
+    assert _differing(half, want.select(*[c for c in want.columns if c in half.columns])) == (10000, 0)
 
 
-def test_feature_table_half_open_switches_form_for_hot_keys(spark):
-    tx = src.transactions(spark, SF01)
-    hot = tx.withColumn(S.CUSTOMER_ID, F.when(F.col(S.TX_ID) % 3 == 0, F.lit(5)).otherwise(F.col(S.CUSTOMER_ID)))
-    auto = feat.feature_table(hot, lookback_days=None, bounds="half_open", hot_key_rows=1000)
-    direct = feat.feature_table(hot, lookback_days=None, bounds="half_open", hot_key_rows=None)
-    j = auto.alias("a").join(direct.alias("d"), S.TX_ID)
+def _differing(got, want):
+    """(joined rows, rows that differ; means and risks by more than float summation does)."""
+    j = got.alias("a").join(want.alias("b"), S.TX_ID)
     bad = F.lit(False)
-    for c in direct.columns:
-        if c == S.TX_ID:
-            continue
-        if "_AVG_" in c or "_RISK_" in c:
-            bad = bad | (F.abs(F.col(f"a.{c}") - F.col(f"d.{c}")) > 1e-9 * (F.abs(F.col(f"d.{c}")) + 1))
-        else:
-            bad = bad | ~F.col(f"a.{c}").eqNullSafe(F.col(f"d.{c}"))
-    assert j.count() == 10000 and j.where(bad).count() == 0
+    for c in want.columns[1:]:
+        a, b = F.col(f"a.{c}"), F.col(f"b.{c}")
+        close = F.abs(a - b) <= 1e-9 * (F.abs(b) + 1) if ("_AVG_" in c or "_RISK_" in c) else a == b
+        bad = bad | ~F.coalesce(close, a.eqNullSafe(b))
+    return j.count(), j.where(bad).count()
+
+
+def test_null_keys_and_times_keep_their_rows(spark):
+    rows = [(1, dt.datetime(2024, 1, 1), None, 1, 5.0, 0), (2, dt.datetime(2024, 1, 1, 1), None, None, 7.0, 1),
+            (3, dt.datetime(2024, 1, 2), 9, None, 1.5, 0)]
+    df = tx_frame(spark, rows)
+    df = df.union(df.limit(1).withColumn(S.TX_ID, F.lit(4)).withColumn(S.TX_DATETIME, F.lit(None).cast("timestamp_ntz")))
+    for bounds in feat.BOUNDS:
+        got = {r[S.TX_ID]: r for r in feat.feature_table(df, lookback_days=None, bounds=bounds).collect()}
+        assert sorted(got) == [1, 2, 3, 4]
+        assert got[2][S.customer_nb_tx(1)] == 2 and got[2][S.customer_avg_amount(1)] == 6.0
+        assert got[3][S.customer_nb_tx(1)] == 1
+        assert got[4][S.customer_nb_tx(30)] == 0 and got[4][S.terminal_risk(30)] == 0.0
+
+
+def test_running_sums_leave_no_residue(spark):
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(days=2 * i), 1, 1, 0.1 * 3 ** (i % 9), 0) for i in range(40)]
+    got = feat.customer_spending(tx_frame(spark, rows), windows=(1,)).select(S.TX_AMOUNT, S.customer_avg_amount(1)).collect()
+    assert all(abs(a - b) < 1e-8 for a, b in got)
+
+
+def test_one_key_is_split_by_day(spark):
+    plan = feat.customer_spending(src.transactions(spark, SF01))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_key" in plan and "_day" in plan.split("hashpartitioning(_key")[1][:40]
+    assert "specifiedwindowframe(RangeFrame, -" not in plan

@@ -5,7 +5,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import tx_frame
+from conftest import SF01, tx_frame
 from txrisk import schema as S
 from txrisk.functions import calendar as cal
 from txrisk.session import scratch_path
@@ -82,3 +82,23 @@ def test_read_latest_day_and_lookback_prune(spark):
     lb = sinks.read_lookback(spark, path, 4)  # last = 01-09 02:00 -> keep > 01-05 02:00
     assert sorted(r[S.TX_ID] for r in lb.collect()) == [12, 20, 21]
     assert "PartitionFilters" in lb._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookback_is_the_same_in_any_session_zone(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    sinks.write_daily(src.transactions(spark, SF01), path)
+    counts = set()
+    for zone in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            counts.add(sinks.read_lookback(spark, path, 14).count())
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert counts == {4680}
+
+
+def test_folders_are_listed_through_hadoop(spark, tmp_path):
+    for d in ("TX_DATE=2024-01-02", "TX_DATE=2024-01-01", "_tmp"):
+        (tmp_path / d).mkdir()
+    assert sinks.partition_values(spark, f"file://{tmp_path}") == ["2024-01-01", "2024-01-02"]
+    assert not sinks.folder_exists(spark, f"file://{tmp_path}/none")

@@ -1,9 +1,14 @@
 """Rolling per-customer spending and delayed per-terminal risk features.
 
-Each family is ONE ``select`` over ONE window partitioning, so a key costs one
-hash exchange and one sort however many windows are asked for; no global sort
-is placed between window columns. Frames are RANGE frames on whole epoch
-seconds.
+Every value enters its key's running totals at one second and leaves each
+window at a later one, so a frame's sum is one running sum over a stream of
+enter and leave events: linear in the rows of a key, where a sliding frame
+would be summed up anew for each row. The stream is cut by (key, day). Totals of
+earlier days - one small row for each key and day, summed up before they are
+shuffled - start each day's running sum, so a key that holds a third of all
+rows is spread over its days. Amounts are summed as decimals: what has left
+leaves no residue. Rows with a null key form one group; a row without a time has
+no frame (count 0).
 
 Bounds
 ------
@@ -43,64 +48,94 @@ def add_calendar_flags(df: DataFrame, time_col: str = S.TX_DATETIME) -> DataFram
     })
 
 
-def spending_columns(windows=S.WINDOWS, bounds: str = "closed", key: str = S.CUSTOMER_ID,
-                     time_col: str = S.TX_DATETIME, amount_col: str = S.TX_AMOUNT,
-                     id_col: str = S.TX_ID, prefix: str | None = None) -> list[Column]:
-    """W1 / W2 window columns: number of transactions and mean amount."""
+AMOUNT_TYPE = "decimal(20,8)"
+
+
+def _swept(df: DataFrame, key: str, time_col: str, values: dict[str, Column], enter: int | None,
+           leave: dict[int, int], tie_col: str | None = None, totals_from: DataFrame | None = None) -> DataFrame:
+    """``df`` as the struct ``_row`` with ``<value><window>``: each value summed over each window's frame.
+
+    A row's values enter ``enter`` seconds after it (None: at the row itself,
+    which then counts) and leave window w ``leave[w]`` seconds after it. With
+    ``tie_col``, rows of one second count one after the other in its order; else
+    all of a second count together. ``totals_from`` has the same rows with fewer
+    columns where that spares computing ``df`` for the day totals.
+    """
+    def events(src: DataFrame, row: Column | None) -> DataFrame:
+        def event(kind, shift, factors):
+            return F.struct(F.lit(kind).alias("kind"), F.lit(shift).cast("long").alias("shift"),
+                            *[F.lit(factors.get(w, 0)).alias(f"f{w}") for w in leave])
+        once = {w: 1 for w in leave}
+        kinds = [event(1, 0, once if enter is None else {})]
+        if enter is not None:
+            kinds.append(event(0, enter, once))
+        kinds += [event(0, s, {w: -1}) for w, s in leave.items()]
+        base = src.select(F.col(key).alias("_key"), cal.epoch_seconds(time_col).alias("_sec"),
+                          *[v.alias(n) for n, v in values.items()],
+                          *([row.alias("_row"), F.col(tie_col or key).alias("_tie")] if row is not None else []),
+                          F.explode(F.array(*kinds)).alias("_e"))
+        sec = F.col("_sec") + F.col("_e.shift")
+        own = F.col("_e.kind") == 1
+        return base.select(
+            "_key", F.floor(sec / DAY).alias("_day"), sec.alias("_sec"), F.col("_e.kind").alias("_kind"),
+            *([F.when(own, F.col("_tie")).alias("_tie"), F.when(own, F.col("_row")).alias("_row")]
+              if row is not None else []),
+            *[F.when(F.col(f"_e.f{w}") == 1, F.col(n)).when(F.col(f"_e.f{w}") == -1, -F.col(n))
+              .otherwise(F.lit(0)).alias(f"{n}{w}") for n in values for w in leave])
+
+    sums = [f"{n}{w}" for n in values for w in leave]
+    stream = events(df, F.struct(*[F.col(c) for c in df.columns]))
+    days = events(totals_from if totals_from is not None else df, None) \
+        .groupBy("_key", "_day").agg(*[F.sum(c).alias(c) for c in sums])
+    earlier = Window.partitionBy("_key").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    starts = days.select("_key", "_day", (F.col("_day") * DAY).alias("_sec"), F.lit(-1).alias("_kind"),
+                         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in sums])
+    by_day = Window.partitionBy("_key", "_day")
+    if tie_col is None:
+        upto = by_day.orderBy("_sec").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    else:
+        upto = by_day.orderBy("_sec", "_kind", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = stream.unionByName(starts, allowMissingColumns=True)
+    return both.select("_kind", "_row", *[F.sum(c).over(upto).alias(c) for c in sums]) \
+        .where("_kind = 1").drop("_kind")
+
+
+def customer_spending(df: DataFrame, windows=S.WINDOWS, bounds: str = "closed", key: str = S.CUSTOMER_ID,
+                      time_col: str = S.TX_DATETIME, amount_col: str = S.TX_AMOUNT, id_col: str = S.TX_ID,
+                      prefix: str | None = None, totals_from: DataFrame | None = None) -> DataFrame:
+    """Input rows plus NB_TX and AVG_AMOUNT per window."""
     _check_bounds(bounds)
     prefix = prefix or key
-    sec = cal.epoch_seconds(time_col)
-    by_time = Window.partitionBy(key).orderBy(sec)
-    out: list[Column] = []
-    if bounds == "closed":
-        for w in windows:
-            frame = by_time.rangeBetween(-w * DAY, 0)
-            out.append(F.count(F.lit(1)).over(frame).alias(f"{prefix}_NB_TX_{w}DAY_WINDOW"))
-            out.append(F.avg(amount_col).over(frame).alias(f"{prefix}_AVG_AMOUNT_{w}DAY_WINDOW"))
-        return out
-    # Same key partitioning, so this frame reuses the exchange of the range frame.
-    later = Window.partitionBy(key, sec).orderBy(id_col).rowsBetween(1, Window.unboundedFollowing)
-    later_n = F.count(amount_col).over(later)
-    later_sum = F.coalesce(F.sum(amount_col).over(later), F.lit(0.0))
-    for w in windows:
-        frame = by_time.rangeBetween(-w * DAY + 1, 0)
-        n = F.count(amount_col).over(frame) - later_n
-        total = F.coalesce(F.sum(amount_col).over(frame), F.lit(0.0)) - later_sum
-        out.append(n.cast("long").alias(f"{prefix}_NB_TX_{w}DAY_WINDOW"))
-        out.append(F.try_divide(total, n).alias(f"{prefix}_AVG_AMOUNT_{w}DAY_WINDOW"))
-    return out
-
-
-def risk_columns(delay: int = S.DELAY_DAYS, windows=S.WINDOWS, bounds: str = "closed",
-                 key: str = S.TERMINAL_ID, time_col: str = S.TX_DATETIME,
-                 label_col: str = S.TX_FRAUD) -> list[Column]:
-    """W3 / W4 window columns: transactions and fraud ratio before the delay."""
-    _check_bounds(bounds)
-    sec = cal.epoch_seconds(time_col)
-    by_time = Window.partitionBy(key).orderBy(sec)
-    out: list[Column] = []
+    closed = bounds == "closed"
+    known = F.col(amount_col).isNotNull().cast("long")
+    values = {"_n": F.lit(1).cast("long") if closed else known, "_known": known,
+              "_total": F.coalesce(F.col(amount_col).cast(AMOUNT_TYPE), F.lit(0).cast(AMOUNT_TYPE))}
+    found = _swept(df, key, time_col, values, None, {w: w * DAY + int(closed) for w in windows},
+                   None if closed else id_col, totals_from)
+    out = [F.col("_row").getField(c).alias(c) for c in df.columns]
     for w in windows:
-        if bounds == "closed":
-            frame = by_time.rangeBetween(-(delay + w) * DAY, -delay * DAY - 1)
-        else:
-            frame = by_time.rangeBetween(-(delay + w) * DAY + 1, -delay * DAY)
-        n = F.count(label_col).over(frame)
-        frauds = F.sum(label_col).over(frame)
-        out.append(n.alias(f"{key}_NB_TX_{w}DAY_WINDOW"))
-        out.append(F.coalesce(F.try_divide(frauds.cast("double"), n), F.lit(0.0)).alias(f"{key}_RISK_{w}DAY_WINDOW"))
-    return out
-
-
-def customer_spending(df: DataFrame, windows=S.WINDOWS, bounds: str = "closed",
-                      key: str = S.CUSTOMER_ID, **kw) -> DataFrame:
-    """Input rows plus NB_TX and AVG_AMOUNT per window."""
-    return df.select("*", *spending_columns(windows, bounds, key, **kw))
+        out.append(F.col(f"_n{w}").cast("long").alias(f"{prefix}_NB_TX_{w}DAY_WINDOW"))
+        out.append(F.try_divide(F.col(f"_total{w}").cast("double"), F.col(f"_known{w}"))
+                   .alias(f"{prefix}_AVG_AMOUNT_{w}DAY_WINDOW"))
+    return found.select(*out)
 
 
-def terminal_risk(df: DataFrame, delay: int = S.DELAY_DAYS, windows=S.WINDOWS,
-                  bounds: str = "closed", key: str = S.TERMINAL_ID, **kw) -> DataFrame:
+def terminal_risk(df: DataFrame, delay: int = S.DELAY_DAYS, windows=S.WINDOWS, bounds: str = "closed",
+                  key: str = S.TERMINAL_ID, time_col: str = S.TX_DATETIME, label_col: str = S.TX_FRAUD,
+                  totals_from: DataFrame | None = None) -> DataFrame:
     """Input rows plus NB_TX and RISK per window."""
-    return df.select("*", *risk_columns(delay, windows, bounds, key, **kw))
+    _check_bounds(bounds)
+    closed = bounds == "closed"
+    values = {"_n": F.col(label_col).isNotNull().cast("long"),
+              "_frauds": F.coalesce(F.col(label_col).cast("long"), F.lit(0))}
+    found = _swept(df, key, time_col, values, delay * DAY + int(closed),
+                   {w: (delay + w) * DAY + int(closed) for w in windows}, None, totals_from)
+    out = [F.col("_row").getField(c).alias(c) for c in df.columns]
+    for w in windows:
+        risk = F.try_divide(F.col(f"_frauds{w}").cast("double"), F.col(f"_n{w}"))
+        out.append(F.col(f"_n{w}").cast("long").alias(f"{key}_NB_TX_{w}DAY_WINDOW"))
+        out.append(F.coalesce(risk, F.lit(0.0)).alias(f"{key}_RISK_{w}DAY_WINDOW"))
+    return found.select(*out)
 
 
 def fill_numeric_nulls(df: DataFrame, value: int = 0) -> DataFrame:
@@ -119,124 +154,10 @@ def lookback(df: DataFrame, days: int = 90, time_col: str = S.TX_DATETIME,
     return df.where(F.col(time_col) > cal.add_days(last, -days))
 
 
-# Rows of one key above which its window family switches to the hot-key form:
-# a window task then holds at most the key's seconds, not its transactions.
-HOT_KEY_ROWS = 20_000_000
-
-
-def largest_key_rows(df: DataFrame, keys: list[str]) -> dict[str, int]:
-    """Rows of the most frequent value of each key, in ONE job: a grouping-sets
-    count (partial aggregation before the shuffle), then the max per key. Only
-    one number per key reaches the driver."""
-    counts = df.groupingSets([[k] for k in keys], *keys).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.grouping(k).alias(f"_g_{k}") for k in keys])
-    row = counts.agg(*[F.max(F.when(F.col(f"_g_{k}") == 0, F.col("_n"))).alias(k) for k in keys]).first()
-    return {k: int(row[k] or 0) for k in keys}
-
-
 def feature_table(df: DataFrame, lookback_days: int | None = 90, delay: int = S.DELAY_DAYS,
-                  windows=S.WINDOWS, bounds: str = "closed", hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
-    """The nightly 15-feature table: P1, F1/F2, W1 (or W2), W3 (or W4), P8.
-
-    Even keys: two hash exchanges in total, one by CUSTOMER_ID, one by
-    TERMINAL_ID. When the largest customer or terminal exceeds
-    ``hot_key_rows`` rows, that family is computed in the hot-key form
-    (per-(key, second) pre-aggregation); ``hot_key_rows=None`` skips the check.
-    """
-    if lookback_days is not None:
-        df = lookback(df, lookback_days)
-    hot_c = hot_t = False
-    if hot_key_rows is not None:
-        top = largest_key_rows(df, [S.CUSTOMER_ID, S.TERMINAL_ID])
-        hot_c, hot_t = top[S.CUSTOMER_ID] > hot_key_rows, top[S.TERMINAL_ID] > hot_key_rows
-    df = add_calendar_flags(df)
-    df = spending_per_second(df, windows, bounds=bounds) if hot_c else customer_spending(df, windows, bounds)
-    df = risk_per_second(df, delay, windows, bounds=bounds) if hot_t else terminal_risk(df, delay, windows, bounds)
-    return fill_numeric_nulls(df)
-
-
-# ---- hot-key form -----------------------------------------------------------------
-# Closed spending frames and both risk frames depend only on (key, second): every
-# row of one second of one key sees the same frame. So the rows can be
-# pre-aggregated per (key, second) - a hash aggregate with map-side combine, safe
-# for a key holding a third of all rows - the windows run over that table, whose
-# size per key is bounded by the seconds of the time span rather than by the
-# transaction volume, and the results are joined back on (key, second); AQE's
-# skew join splits the hot key's side of that join.
-
-def spending_per_second(df: DataFrame, windows=S.WINDOWS, key: str = S.CUSTOMER_ID,
-                        time_col: str = S.TX_DATETIME, amount_col: str = S.TX_AMOUNT,
-                        id_col: str = S.TX_ID, bounds: str = "closed") -> DataFrame:
-    """W1/W2 through per-(key, second) pre-aggregation; same columns as ``customer_spending``.
-
-    Half-open: seconds strictly before the row's second within the window come
-    from the per-second table; same-second rows up to the row (id order) come
-    from a window over (key, second), whose size is one second of one key.
-    """
-    _check_bounds(bounds)
-    sec = cal.epoch_seconds(time_col)
-    per = df.groupBy(key, sec.alias("_sec")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(amount_col).alias("_s"), F.count(amount_col).alias("_na"))
-    by_time = Window.partitionBy(key).orderBy("_sec")
-    cols = []
-    for w in windows:
-        if bounds == "closed":
-            frame = by_time.rangeBetween(-w * DAY, 0)
-            cols.append(F.sum("_n").over(frame).alias(f"_n{w}"))
-        else:
-            frame = by_time.rangeBetween(-w * DAY + 1, -1)
-            cols.append(F.sum("_na").over(frame).alias(f"_n{w}"))
-        cols.append(F.sum("_s").over(frame).alias(f"_s{w}"))
-        cols.append(F.sum("_na").over(frame).alias(f"_na{w}"))
-    feats = per.select(key, "_sec", *cols)
-    rows = df.withColumn("_sec", sec)
-    if bounds == "half_open":
-        upto = Window.partitionBy(key, "_sec").orderBy(id_col).rowsBetween(Window.unboundedPreceding, 0)
-        rows = rows.withColumns({"_pn": F.count(amount_col).over(upto),
-                                 "_ps": F.coalesce(F.sum(amount_col).over(upto), F.lit(0.0))})
-    j = rows.join(feats, [key, "_sec"])
-    out = {}
-    for w in windows:
-        if bounds == "closed":
-            n, total, na = F.col(f"_n{w}"), F.col(f"_s{w}"), F.col(f"_na{w}")
-        else:
-            n = F.coalesce(F.col(f"_n{w}"), F.lit(0)) + F.col("_pn")
-            na = n
-            total = F.coalesce(F.col(f"_s{w}"), F.lit(0.0)) + F.col("_ps")
-        out[f"{key}_NB_TX_{w}DAY_WINDOW"] = n.cast("long")
-        out[f"{key}_AVG_AMOUNT_{w}DAY_WINDOW"] = F.try_divide(total, na)
-    helpers = [c for c in j.columns if c.startswith("_")]
-    return j.withColumns(out).drop(*helpers)
-
-
-def risk_per_second(df: DataFrame, delay: int = S.DELAY_DAYS, windows=S.WINDOWS, bounds: str = "closed",
-                    key: str = S.TERMINAL_ID, time_col: str = S.TX_DATETIME,
-                    label_col: str = S.TX_FRAUD) -> DataFrame:
-    """W3/W4 through per-(key, second) pre-aggregation; same columns as ``terminal_risk``."""
-    _check_bounds(bounds)
-    per = df.groupBy(key, cal.epoch_seconds(time_col).alias("_sec")).agg(
-        F.sum(label_col).alias("_f"), F.count(label_col).alias("_c"))
-    by_time = Window.partitionBy(key).orderBy("_sec")
-    cols = []
-    for w in windows:
-        if bounds == "closed":
-            frame = by_time.rangeBetween(-(delay + w) * DAY, -delay * DAY - 1)
-        else:
-            frame = by_time.rangeBetween(-(delay + w) * DAY + 1, -delay * DAY)
-        n = F.coalesce(F.sum("_c").over(frame), F.lit(0)).cast("long")
-        frauds = F.sum("_f").over(frame)
-        cols.append(n.alias(f"{key}_NB_TX_{w}DAY_WINDOW"))
-        cols.append(F.coalesce(F.try_divide(frauds.cast("double"), n), F.lit(0.0)).alias(f"{key}_RISK_{w}DAY_WINDOW"))
-    feats = per.select(key, "_sec", *cols)
-    return (df.withColumn("_sec", cal.epoch_seconds(time_col)).join(feats, [key, "_sec"]).drop("_sec"))
-
-
-def feature_table_hot_keys(df: DataFrame, lookback_days: int | None = 90, delay: int = S.DELAY_DAYS,
-                           windows=S.WINDOWS, bounds: str = "closed") -> DataFrame:
-    """The 15-feature table in the hot-key form; same rows and columns as ``feature_table``."""
+                  windows=S.WINDOWS, bounds: str = "closed") -> DataFrame:
+    """The nightly 15-feature table: P1, F1/F2, W1 (or W2), W3 (or W4), P8."""
     if lookback_days is not None:
         df = lookback(df, lookback_days)
-    df = add_calendar_flags(df)
-    df = spending_per_second(df, windows, bounds=bounds)
-    df = risk_per_second(df, delay, windows, bounds=bounds)
-    return fill_numeric_nulls(df)
+    out = customer_spending(add_calendar_flags(df), windows, bounds, totals_from=df)
+    return fill_numeric_nulls(terminal_risk(out, delay, windows, bounds, totals_from=df))

@@ -178,14 +178,14 @@ def replace_and_fill(spark, sf_dir):
 
 @query("feature_table_hot_keys", _feature_sql(90))
 def feature_table_hot_keys(spark, sf_dir):
-    """The nightly table in the hot-key form (per-(key, second) pre-aggregation)."""
-    return rounded_features(feat.feature_table_hot_keys(src.transactions(spark, sf_dir), lookback_days=90))
+    """The nightly table; one form serves hot keys and others."""
+    return rounded_features(feat.feature_table(src.transactions(spark, sf_dir), lookback_days=90))
 
 
 @query("customer_spending_orders_half_open_hot_keys", _spending_sql(Q.ORDERS_TX, "otx", Q.spending_half_open))
 def customer_spending_orders_half_open_hot_keys(spark, sf_dir):
-    """W2 in the hot-key form on the tied `orders` stream."""
-    return _spending_select(feat.spending_per_second(_orders_tx(spark, sf_dir), bounds="half_open"))
+    """W2 on the tied `orders` stream; one form serves hot keys and others."""
+    return _spending_select(feat.customer_spending(_orders_tx(spark, sf_dir), bounds="half_open"))
 
 
 @query("nightly_features_job", _feature_sql(90))

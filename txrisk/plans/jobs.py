@@ -10,12 +10,12 @@ from ..sources import sinks
 
 
 def nightly_features(spark: SparkSession, raw_path: str, processed_path: str, lookback_days: int = 90,
-                     hot_key_rows: int | None = feat.HOT_KEY_ROWS) -> None:
+                     bounds: str = "closed") -> None:
     """Read the lookback from day-partitioned raw data (pruned), build the 15
     features, write the processed table one folder per day (dynamic overwrite:
     a re-run replaces the same days)."""
     raw = sinks.read_lookback(spark, raw_path, lookback_days)
-    processed = feat.feature_table(raw, lookback_days=None, hot_key_rows=hot_key_rows)
+    processed = feat.feature_table(raw, lookback_days=None, bounds=bounds)
     sinks.write_daily(processed, processed_path)
 
 
@@ -63,7 +63,7 @@ def train_and_validate(spark: SparkSession, processed: DataFrame, runs_path: str
     p_value, decision = None, "promote"
     try:
         champion = md.load_promoted(spark, runs_path)
-    except Exception:  # noqa: BLE001 - no run table or no promoted model yet
+    except LookupError:  # no promoted model yet; any other failure stops the job
         champion = None
     if champion is not None:
         champ = md.predict(champion, val).select(S.TX_ID, F.col("probability_1").alias("score"))

@@ -47,14 +47,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a shared filesystem folder and is used as
-    is. Only when it is unset (tests, local runs) a fresh scratch folder is
-    created and registered.
+    is. Only when it is unset under a local master (tests, local runs) a fresh
+    scratch folder is created and registered; elsewhere that is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="txrisk-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", path)
