@@ -7,9 +7,8 @@ probability of the hidden word. A document's score is the sum of the log
 probabilities of all its words, each seen from both sides.
 
 Training runs where the data is: each task starts from the same parameters,
-trains in numpy on every ``TRAIN_EVERY``-th word of all texts of its partition
-(the others serve as neighbours), and hands on its parameters weighted by its
-words; Spark averages them row by row with partial sums. So
+trains in numpy on all words of its partition, and hands on its parameters
+weighted by its words; Spark averages them row by row with partial sums. So
 what is gathered grows with the input, while the driver and every task hold one
 model of fixed size (about 300 KB). The vocabulary counts all documents.
 """
@@ -34,8 +33,6 @@ OTHER, BEYOND = 0, 1
 DIM = 16
 REACH = 2
 BATCH = 8192
-#: Every so many words of each text one is a training target; all are neighbours, and all are scored.
-TRAIN_EVERY = 4
 #: Parameters stay within this bound, so that no exponential overflows.
 BOUND = np.float32(4)
 RATE = 0.15
@@ -201,7 +198,6 @@ def trained(docs: DataFrame, words: list[str], text_col: str = "text", rounds: i
                 texts = b.column(0)
                 for lo, hi in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
                     ids, near, _ = ids_of.windows(texts.slice(lo, hi - lo).to_pylist())
-                    ids, near = ids[total % TRAIN_EVERY::TRAIN_EVERY], near[total % TRAIN_EVERY::TRAIN_EVERY]
                     total += len(ids)
                     for i in range(0, len(ids), BATCH):
                         model.train(ids[i:i + BATCH], near[i:i + BATCH], scale)
