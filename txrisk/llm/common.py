@@ -201,19 +201,106 @@ def map_texts(df: DataFrame, text_col: str, keep: list[str], new: str,
     return out.select(*beside("row", keep, names))
 
 
+#: Folders of stored tables that are still there, in order.
+_folders: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Later steps read the files, so an executor lost after this point costs no
-    recomputation of what came before, and row ids given before stay fixed.
-    The folder goes when the application ends.
+    recomputation of what came before, and row ids given before stay fixed. The
+    folder goes with ``discard`` or ``release``, at the latest when the
+    application ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
+    fs, folder = _file_system(spark, path)
+    fs.deleteOnExit(folder)
+    _folders.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_in = path
+    return out
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    if path in _folders:
+        _folders.remove(path)
+        fs, folder = _file_system(spark, path)
+        fs.delete(folder, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for t in tables:
+        _remove(t.sparkSession, t.stored_in)
+
+
+def held() -> list[str]:
+    """Folders of the stored tables that are there now."""
+    return list(_folders)
+
+
+def release(spark: SparkSession, folders: list[str]) -> None:
+    for path in folders:
+        _remove(spark, path)
+
+
+def _filter_places(bits: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    mask = np.uint64((1 << bits) - 1)
+    return (h & mask).astype(np.int64), (mix64(h) & mask).astype(np.int64)
+
+
+class BitFilter:
+    """Bloom filter of 64-bit hashes, of fixed size whatever it holds.
+
+    Spark sets the bits and packs them into blocks of 8 KB; the driver gets at
+    most ``2**bits / 8`` bytes however many hashes there are. A hash that is in
+    always passes, one that is not mostly does not: it may only save work, never
+    decide.
+    """
+
+    BLOCK_WORDS = 1024
+
+    def __init__(self, hashes: DataFrame, bits: int):
+        """``hashes`` has one long column."""
+        self.bits = bits
+        size = self.BLOCK_WORDS
+
+        def places(batches):
+            for b in batches:
+                both = np.concatenate(_filter_places(bits, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
+                yield pa.RecordBatch.from_arrays([pa.array(both >> 6), pa.array((both & 63).astype(np.int32))],
+                                                 names=["word", "bit"])
+
+        def pack(batches):
+            blocks: dict[int, np.ndarray] = {}
+            for b in batches:
+                word, value = (c.to_numpy(zero_copy_only=False) for c in b.columns[:2])
+                for k in np.unique(word // size).tolist():
+                    mine = word // size == k
+                    blocks.setdefault(k, np.zeros(size, dtype=np.int64))[word[mine] % size] |= value[mine]
+            if blocks:
+                yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int64()),
+                                                  pa.array([x.tobytes() for x in blocks.values()], pa.binary())],
+                                                 names=["block", "bytes"])
+
+        words = hashes.mapInArrow(places, "word long, bit int") \
+            .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("set")) \
+            .withColumn("block", F.floor(F.col("word") / size)).repartition("block")
+        self.words = np.zeros(1 << (bits - 6), dtype=np.int64)
+        for block, packed in words.mapInArrow(pack, "block long, bytes binary").collect():
+            self.words[block * size:(block + 1) * size] = np.frombuffer(packed, dtype=np.int64)
+
+    def passes(self, h: np.ndarray) -> np.ndarray:
+        a, b = _filter_places(self.bits, h)
+        return ((self.words[a >> 6] >> (a & 63)) & (self.words[b >> 6] >> (b & 63)) & 1).astype(bool)
 
 
 def folded(col) -> F.Column:

@@ -18,11 +18,10 @@ splits.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, beside, map_texts, mix64, quoted, signed, stored
+from .common import BitFilter, Words, beside, map_texts, quoted, signed, stored
 
 SPAN = 10
 KGRAM = 5
@@ -55,7 +54,7 @@ def context(words: Words, at: int, span: int, k: int) -> list[str]:
             for i in range(at - (span - k), at + span)]
 
 
-def candidates(words: Words, texts: int, span: int, k: int, short_widths: list[int], keep) -> pa.Array:
+def candidates(words: Words, texts: int, span: int, k: int, short_widths: list[int], keep) -> list[list]:
     """Fingerprints that ``keep(hashes)`` lets pass, as one list for each text."""
     at, hashes = selected(words, span, k)
     ok = keep(hashes)
@@ -97,31 +96,6 @@ def fingerprints(bench: DataFrame, item_col: str, text_col: str, span: int, k: i
         "item", F.col("c.width").alias("width"), F.col("c.hash").alias("hash"), F.col("c.ctx").alias("ctx"))
 
 
-def bloom_places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << FILTER_BITS) - 1)
-    return (h & mask).astype(np.int64), (mix64(h) & mask).astype(np.int64)
-
-
-def bloom(prints: DataFrame) -> np.ndarray:
-    """The bit array of the fingerprints' hashes, of fixed size.
-
-    Spark sets the bits word by word; the driver gets at most
-    2**FILTER_BITS / 64 numbers however large the benchmark is.
-    """
-    def places(batches):
-        for b in batches:
-            h = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            both = np.concatenate(bloom_places(h))
-            yield pa.RecordBatch.from_arrays([pa.array(both >> 6), pa.array((both & 63).astype(np.int32))],
-                                             names=["word", "bit"])
-
-    found = prints.select("hash").mapInArrow(places, "word long, bit int") \
-        .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toPandas()
-    out = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
-    out[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
-
-
 def leaks(docs: DataFrame, bench: DataFrame, text_col: str = "text", keep: list[str] | None = None,
           item_col: str = "item_id", item_text_col: str = "text", span: int = SPAN, k: int = KGRAM) -> DataFrame:
     """Columns ``keep`` (default: all) of each document with what it shares with the benchmark.
@@ -141,16 +115,12 @@ def leaks(docs: DataFrame, bench: DataFrame, text_col: str = "text", keep: list[
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
     prints = stored(fingerprints(bench, item_col, item_text_col, span, k), "prints")
-    bits = spark.sparkContext.broadcast(bloom(prints))
+    bits = spark.sparkContext.broadcast(BitFilter(prints.select("hash"), FILTER_BITS))
     # At most span - 1 widths.
     short = sorted(r[0] for r in prints.where(F.col("width") < span).select("width").distinct().collect())
 
     def make():
-        table = bits.value
-
-        def passes(h):
-            a, b = bloom_places(h)
-            return table[a] & table[b]
+        passes = bits.value.passes
 
         def compute(texts):
             words = Words(texts)

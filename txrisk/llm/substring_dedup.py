@@ -9,8 +9,9 @@ covered from its first to its last sentence.
 
 Scale: a run's occurrences are summed up to their first place before they are
 shuffled, and only runs met twice join back; a passage that a third of the
-corpus shares is a hot key of that join, which adaptive execution splits.
-Hashes have 128 bits.
+corpus shares is a hot key of that join, which adaptive execution splits. A
+Bloom filter of the repeated runs, of fixed size (8 MB), keeps most other runs
+out of the join; it only saves shuffling. Hashes have 128 bits.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, beside, map_texts, mix64, quoted, signed, stored
+from .common import BitFilter, Words, beside, map_texts, mix64, quoted, signed, stored
 
 MIN_WORDS = 20
 MIN_SENTENCES = 2
@@ -28,6 +29,8 @@ MIN_SENTENCES = 2
 #: CUT, so that the parts are the same wherever a passage stands in it.
 SENTENCE_WORDS = 25
 CUT = np.uint64(8)
+#: log2 of the filter's bits: 8 MB.
+FILTER_BITS = 26
 
 ENDS = np.isin(np.arange(256), list(b".!?"))
 BLANK = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
@@ -94,16 +97,23 @@ class Sentences:
         return out
 
 
-def run_rows(base: DataFrame, order_col: str) -> DataFrame:
-    """(h1, h2, ord, rid, a, b): the first occurrence of each run in each text."""
-    src = base.select("rid", quoted(order_col).alias("ord"), F.col("text").cast("binary").alias("text"))
+def run_rows(base: DataFrame, repeated=None) -> DataFrame:
+    """(h1, h2, ord, rid, a, b): the first occurrence of each run in each text.
+
+    With ``repeated`` (a broadcast filter), only runs whose h1 passes it.
+    """
+    src = base.select("rid", "ord", F.col("text").cast("binary").alias("text"))
 
     def make():
+        passes = repeated.value.passes if repeated is not None else None
+
         def compute(texts):
             s = Sentences(texts)
             a, b = s.runs()
             h1, h2 = s.hashes(a, b)
             new = ~s.again(a, h1)
+            if passes is not None:
+                new &= passes(h1)
             a, b, h1, h2 = a[new], b[new], h1[new], h2[new]
             text = s.text[a]
             at = np.searchsorted(text, np.arange(len(texts) + 1))
@@ -138,11 +148,12 @@ def dedup(docs: DataFrame, text_col: str = "text", order_col: str = "doc_id",
     base = stored(docs.select(
         F.struct(*[quoted(c) for c in keep]).alias("doc"), quoted(text_col).alias("text"),
         quoted(order_col).alias("ord"), F.monotonically_increasing_id().alias("rid")), "sentences")
-    runs = run_rows(base, "ord")
     place = F.struct(F.col("ord").isNull().alias("last"), "ord", "rid")
-    firsts = runs.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")) \
+    firsts = run_rows(base).groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")) \
         .where("n > 1").select("h1", "h2", F.col("first.rid").alias("first_rid"))
-    covered = runs.drop("ord").join(firsts, ["h1", "h2"]).where("rid <> first_rid")
+    firsts = stored(firsts, "repeated")
+    repeated = base.sparkSession.sparkContext.broadcast(BitFilter(firsts.select("h1"), FILTER_BITS))
+    covered = run_rows(base, repeated).drop("ord").join(firsts, ["h1", "h2"]).where("rid <> first_rid")
     gone = covered.groupBy("rid").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     joined = base.join(gone, "rid", "left").select("doc", "text", "spans")
 
