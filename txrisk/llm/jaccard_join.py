@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, beside, map_texts, mix64, quoted, signed, stored
+from .common import Words, beside, discard, map_texts, mix64, quoted, signed, stored
 from .components import components
 
 SHINGLE = 5
@@ -169,8 +169,8 @@ def smallest_linked(linked: np.ndarray, rid: np.ndarray) -> np.ndarray:
 
 
 def linked_classes(docs: DataFrame, text_col: str, order_col: str, keep: list[str], width: int, threshold: float,
-                   trees: int, longest: int, recall: float, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(base, members, links): stored rows; (rid, rep, ord, copies); (rid, links, root) of linked classes."""
+                   trees: int, longest: int, recall: float, block: int) -> tuple[DataFrame, DataFrame, DataFrame, tuple]:
+    """Stored rows; (rid, ord, rep, copy_id, copies); (rid, links, root) of linked classes; tables to discard."""
     depth = prefix_length(threshold, recall, trees, longest)
     base = stored(docs.select(
         F.struct(*[quoted(c) for c in keep]).alias("doc"), quoted(text_col).alias("text"),
@@ -224,8 +224,9 @@ def linked_classes(docs: DataFrame, text_col: str, order_col: str, keep: list[st
                      pa.array(smallest_linked(linked, rid)[rows])], names=["rid", "links", "root"])
 
     links = stored(texts.mapInArrow(verified, "rid long, links long, root long"), "links")
+    discard(wanted)
     members = sets.join(classes, ["s1", "s2"], "left").select("rid", "ord", "rep", "copy_id", "copies")
-    return base, members, links
+    return base, members, links, (sets, classes, links)
 
 
 def join_classes(docs: DataFrame, text_col: str = "text", order_col: str = "doc_id", keep: list[str] | None = None,
@@ -245,7 +246,7 @@ def join_classes(docs: DataFrame, text_col: str = "text", order_col: str = "doc_
     empty result. Input columns named like new ones give way.
     """
     keep = docs.columns if keep is None else keep
-    base, members, links = linked_classes(docs, text_col, order_col, keep, width, threshold, trees, longest, recall,
+    base, members, links, used = linked_classes(docs, text_col, order_col, keep, width, threshold, trees, longest, recall,
                                           block)
     roots = components(links.where("rid <> root").select(F.col("rid").alias("a"), F.col("root").alias("b")))
     counted = links.groupBy("rid").agg(F.sum("links").alias("links")).withColumnRenamed("rid", "rep")
@@ -256,6 +257,7 @@ def join_classes(docs: DataFrame, text_col: str = "text", order_col: str = "doc_
     rows = stored(rows.select("rid", "ord", "root", F.coalesce("copy_id", "ord").alias("copy_id"),
                               (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links")),
                   "grouped")
+    discard(roots, *used)
     place = F.struct(F.col("ord").isNull().alias("last"), "ord", "rid")
     heads = rows.groupBy("root").agg(F.min(place).alias("p")) \
         .select("root", F.col("p.ord").alias("class_id"), F.col("p.rid").alias("head"))
