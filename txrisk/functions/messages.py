@@ -2,9 +2,9 @@
 
 Raw-data messages of the source system carry, as value, a JSON string whose
 content is the text form of a Python dict, with the time written as
-``Timestamp('yyyy-MM-dd HH:mm:ss')``. Decoding is three built-in steps: strip
-the JSON string quotes, rewrite ``Timestamp('..')`` to a quoted string, parse
-with single quotes allowed. Plain JSON objects are accepted as well. A body
+``Timestamp('yyyy-MM-dd HH:mm:ss')``. Decoding is three built-in steps: read
+the JSON string, rewrite ``Timestamp('..')`` to a quoted string, parse with
+single quotes allowed. Plain JSON objects are accepted as well. A body
 that does not parse goes to dead letters (the ``_corrupt`` text is kept).
 """
 
@@ -45,9 +45,9 @@ def dict_text(df: DataFrame, fields: list[str] = S.MESSAGE_FIELDS) -> Column:
 
 
 def json_string(text: Column) -> Column:
-    """JSON encoding of a text value: quotes and backslashes escaped, wrapped in quotes."""
-    escaped = F.regexp_replace(F.regexp_replace(text, r"\\", r"\\\\"), '"', r'\\"')
-    return F.concat(F.lit('"'), escaped, F.lit('"'))
+    """JSON encoding of a text value (the one field of an object, without the object)."""
+    whole = F.to_json(F.struct(text.alias("v")))
+    return F.when(text.isNotNull(), F.regexp_extract(whole, r'^\{"v":(.*)\}$', 1))
 
 
 def encode_raw_messages(df: DataFrame) -> DataFrame:
@@ -56,20 +56,23 @@ def encode_raw_messages(df: DataFrame) -> DataFrame:
 
 
 def unwrap_body(value) -> Column:
-    """F15 steps 1-2: drop JSON string quoting, rewrite Timestamp('..') to '..'."""
+    """F15 steps 1-2: read the JSON string, rewrite Timestamp('..') to '..'; null if the string is broken."""
     v = F.trim(_c(value).cast("string"))
-    inner = F.regexp_extract(v, r'^"(.*)"$', 1)
-    unescaped = F.regexp_replace(F.regexp_replace(inner, r'\\"', '"'), r"\\\\", r"\\")
-    body = F.when(v.startswith('"') & v.endswith('"'), unescaped).otherwise(v)
+    inner = F.get_json_object(F.concat(F.lit('{"v":'), v, F.lit("}")), "$.v")
+    body = F.when(v.startswith('"'), inner).otherwise(v)
     return F.regexp_replace(body, r"Timestamp\('([^']*)'\)", "'$1'")
 
 
 def decode_raw_messages(msgs: DataFrame, value_col: str = "value",
                         schema: T.StructType = S.MESSAGE_VALUE) -> DataFrame:
-    """Parsed fields plus ``_corrupt`` (non-null when the body is malformed)."""
+    """Parsed fields plus ``_corrupt`` (non-null when the body is malformed).
+
+    The parsed struct leaves a generator, below which Catalyst pushes no filter
+    on its fields: each body is parsed once.
+    """
     parse_schema = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
     parsed = F.from_json(unwrap_body(value_col), parse_schema, _PARSE_OPTIONS)
-    return msgs.select("*", parsed.alias("_m")).select(
+    return msgs.select("*", F.explode(F.array(parsed)).alias("_m")).select(
         *[c for c in msgs.columns], *[F.col(f"_m.{f.name}").alias(f.name) for f in parse_schema.fields])
 
 

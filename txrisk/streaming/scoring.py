@@ -55,9 +55,15 @@ def kafka_message_stream(spark: SparkSession, servers: str, topic: str, starting
 def score_batch(messages: DataFrame, processed: DataFrame, model: PipelineModel,
                 scope: str = "latest_day") -> tuple[DataFrame, DataFrame, DataFrame]:
     """T-2 + T-3 on one (static) batch: (predictions, rejected requests, dead letters)."""
-    good, dead = M.split_dead_letters(M.decode_raw_messages(messages))
+    return score_decoded(M.decode_raw_messages(messages), snap.customer_snapshot(processed, scope),
+                         snap.terminal_snapshot(processed, scope), model)
+
+
+def score_decoded(decoded: DataFrame, cust: DataFrame, term: DataFrame,
+                  model: PipelineModel) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``score_batch`` from decoded messages and both snapshots."""
+    good, dead = M.split_dead_letters(decoded)
     requests = good.select(*S.MESSAGE_FIELDS)
-    cust, term = snap.customer_snapshot(processed, scope), snap.terminal_snapshot(processed, scope)
     enriched = snap.enrich(requests, cust, term, how="inner")
     scored = model.transform(enriched.withColumn(S.TX_FRAUD, F.col(S.TX_FRAUD).cast("double")))
     out = scored.withColumn("probability", probability_of_one("probability")).withColumn(
@@ -65,19 +71,46 @@ def score_batch(messages: DataFrame, processed: DataFrame, model: PipelineModel,
     return out.select(*PREDICTION_FIELDS), snap.rejected(requests, cust, term), dead.select("key", "value")
 
 
+def kafka_writer(servers: str, topic: str, **options) -> Callable[[DataFrame, int], None]:
+    """Publishes (key, value) rows to a topic (needs the spark-sql-kafka package).
+
+    Delivery is at least once: a batch replayed after a failure is sent again,
+    with the same keys.
+    """
+    def publish(msgs: DataFrame, batch_id: int) -> None:
+        w = msgs.select("key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers)
+        for k, v in options.items():
+            w = w.option(k, v)
+        w.option("topic", topic).save()
+    return publish
+
+
 def start_scoring(stream: DataFrame, load_processed: Callable[[], DataFrame], model: PipelineModel,
                   out_path: str, checkpoint: str, available_now: bool = True,
-                  processing_time: str | None = None):
+                  processing_time: str | None = None,
+                  publish: Callable[[DataFrame, int], None] | None = None):
     """T-1 ... T-5: run the scoring stream; prediction messages land under ``out_path``.
 
     ``out_path/predictions`` holds (key, value) prediction messages (S9 payload),
-    ``out_path/rejected`` the requests without snapshots, ``out_path/dead`` bad bodies.
+    ``out_path/rejected`` the requests without snapshots, ``out_path/dead`` bad bodies. ``publish`` (see
+    ``kafka_writer``) also gets each batch's prediction messages, as they were written.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        pred, rej, dead = score_batch(batch, load_processed(), model)
-        msgs = M.encode_predictions(pred, PREDICTION_FIELDS)
-        for name, df in (("predictions", msgs), ("rejected", rej), ("dead", dead)):
-            df.write.mode("overwrite").parquet(f"{out_path}/{name}/batch={batch_id}")
+        processed = load_processed()
+        # Three outputs read these: decoded messages and one row for each key.
+        shared = [M.decode_raw_messages(batch).persist(), snap.customer_snapshot(processed).persist(),
+                  snap.terminal_snapshot(processed).persist()]
+        try:
+            pred, rej, dead = score_decoded(*shared, model)
+            msgs = M.encode_predictions(pred, PREDICTION_FIELDS)
+            for name, df in (("predictions", msgs), ("rejected", rej), ("dead", dead)):
+                df.write.mode("overwrite").parquet(f"{out_path}/{name}/batch={batch_id}")
+            if publish is not None:
+                publish(batch.sparkSession.read.schema(MESSAGE_SCHEMA)
+                        .parquet(f"{out_path}/predictions/batch={batch_id}"), batch_id)
+        finally:
+            for df in shared:
+                df.unpersist()
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
