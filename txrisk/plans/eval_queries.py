@@ -126,10 +126,22 @@ def bootstrap_summary(spark, sf_dir):
                      stable_round(F.col("var_auc") * 1e6).alias("var_auc_e6"))
 
 
-@query("champion_challenger")
+# |t| that a two-sided test at 5 % needs with 198 degrees of freedom (fixed value of the t table).
+CRITICAL_T = 1.972017
+
+
+@query("champion_challenger", f"""WITH {Q.TX}, {SCORES_SQL}, {BOOT_SQL},
+st AS (SELECT model, count(*) AS n, avg(roc_auc) AS m, var_samp(roc_auc) AS v FROM boot GROUP BY model),
+t AS (SELECT a.m AS champion, b.m AS challenger,
+             (a.m - b.m) / sqrt(((a.n - 1) * a.v + (b.n - 1) * b.v) / (a.n + b.n - 2) * (1.0 / a.n + 1.0 / b.n)) AS t
+      FROM st a, st b WHERE a.model = 'raw_amount' AND b.model = 'amount')
+SELECT round(t + 1e-9, 4) AS t_stat, abs(t) > {CRITICAL_T} AS is_significant,
+       CASE WHEN abs(t) > {CRITICAL_T} AND challenger >= champion THEN 'promote' ELSE 'keep' END AS decision FROM t""")
 def champion_challenger(spark, sf_dir):
-    """champion = raw amount, challenger = labelled amount; p-value needs the t tail (rows-only)."""
-    return bs.decide(bs.t_test(_boot(spark, sf_dir), champion="raw_amount", challenger="amount"))
+    """champion = raw amount, challenger = labelled amount; SQL holds the p-value against the t table."""
+    out = bs.decide(bs.t_test(_boot(spark, sf_dir), champion="raw_amount", challenger="amount"))
+    return out.select(stable_round(F.col("t_stat"), 4).alias("t_stat"),
+                      (F.col("p_value") < bs.ALPHA).alias("is_significant"), "decision")
 
 
 @query("score_histogram", f"""WITH {Q.TX}, {SCORES_SQL}, {BOOT_SQL},

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import calendar as cal
+from ..functions.hashing import md5_key, md5_key_sql
 from ..operators import features as feat
 from ..sources import transactions as src
 from . import sqlparts as Q
@@ -165,15 +166,22 @@ def lookback_filter(spark, sf_dir):
     return feat.lookback(src.transactions(spark, sf_dir), 14).select(S.TX_ID, S.TX_DATETIME, S.CUSTOMER_ID)
 
 
-@query("replace_and_fill", """
-SELECT CASE WHEN c_custkey = -1 THEN 0 ELSE coalesce(c_custkey, 0) END AS c_custkey,
-       CAST(CASE WHEN c_nationkey = -1 THEN 0 ELSE coalesce(c_nationkey, 0) END AS INTEGER) AS c_nationkey,
-       CASE WHEN c_acctbal = -1 THEN 0.0 ELSE coalesce(c_acctbal, 0.0) END AS c_acctbal,
-       c_mktsegment
-FROM customer""")
+@query("replace_and_fill", f"""
+WITH c AS (SELECT *, {md5_key_sql('c_custkey')} % 5 AS k FROM customer)
+SELECT CAST(c_custkey AS VARCHAR) AS customer, CASE WHEN k < 2 THEN 0 ELSE c_custkey END AS c_custkey,
+       CASE WHEN k < 2 THEN 0.0 ELSE c_acctbal END AS c_acctbal,
+       CASE WHEN k = 1 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+FROM c""")
 def replace_and_fill(spark, sf_dir):
-    c = src.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    return feat.fill_numeric_nulls(src.replace_minus_one(c))
+    """P7 + P8 on customers of which two fifths have been given -1 or null."""
+    c = src.table(spark, sf_dir, "customer").withColumn("_k", md5_key("c_custkey") % 5)
+
+    def damaged(name):
+        bad = F.when(F.col("_k") == 0, F.lit(-1)).when(F.col("_k") == 1, F.lit(None))
+        return bad.otherwise(F.col(name)).alias(name)
+    rows = c.select(F.col("c_custkey").cast("string").alias("customer"), damaged("c_custkey"), damaged("c_acctbal"),
+                    F.when(F.col("_k") != 1, F.col("c_mktsegment")).alias("c_mktsegment"))
+    return feat.fill_numeric_nulls(src.replace_minus_one(rows))
 
 
 @query("feature_table_hot_keys", _feature_sql(90))

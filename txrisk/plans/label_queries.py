@@ -15,9 +15,11 @@ from . import sqlparts as Q
 from .registry import query
 from .sqlparts import stable_round
 
-INCIDENTS_SQL = f"""
+def incidents_sql(step: int = 1) -> str:
+    """CTEs of the rule-made incidents that start on every ``step``-th day, and of the labels they give."""
+    return f"""
 b AS (SELECT max(TX_TIME_DAYS) AS max_day, max(CUSTOMER_ID) + 1 AS n_cust, max(TERMINAL_ID) + 1 AS n_term FROM tx),
-d AS (SELECT unnest(range(0, max_day)) AS d FROM b),
+d AS (SELECT unnest(range(0, max_day, {step})) AS d FROM b),
 inc AS (
   SELECT DISTINCT kind, CAST(entity_id AS BIGINT) AS entity_id, CAST(start_day AS BIGINT) AS start_day, 14 AS n_days FROM (
     SELECT 'terminal' AS kind, (d.d * 37 + 11) % b.n_term AS entity_id, d.d AS start_day FROM d, b
@@ -52,6 +54,9 @@ labeled AS (
 )"""
 
 
+INCIDENTS_SQL = incidents_sql()
+
+
 def _tx(spark, sf_dir):
     return src.transactions(spark, sf_dir)
 

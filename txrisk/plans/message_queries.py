@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from .. import schema as S
 from ..functions import messages as M
 from ..session import scratch_path
 from ..sources import sinks
 from ..sources import transactions as src
+from ..streaming import scoring
 from . import sqlparts as Q
 from .registry import query
 from .sqlparts import stable_round
@@ -27,12 +28,40 @@ def parsed_messages(spark, sf_dir):
 
 
 @query("dead_letters", f"""WITH {Q.TX}
-SELECT CAST(TRANSACTION_ID AS VARCHAR) AS key FROM tx WHERE false""")
+SELECT CAST(TRANSACTION_ID AS VARCHAR) AS key, substr(md5(CAST(TRANSACTION_ID AS VARCHAR)), 1, 1) <> '3' AS has_body
+FROM tx WHERE substr(md5(CAST(TRANSACTION_ID AS VARCHAR)), 1, 1) < '6'""")
 def dead_letters(spark, sf_dir):
-    """Messages of the whole table whose body does not parse (none for well-formed input)."""
+    """Messages whose body does not parse or has no id; six in sixteen have been damaged, each in one of six ways."""
+    msgs = M.encode_raw_messages(src.transactions(spark, sf_dir))
+    how, body = F.substring(F.md5("key"), 1, 1), F.col("value")
+    damaged = (F.when(how == "0", F.substring(body, 1, 40))
+               .when(how == "1", M.json_string(F.lit("{'CUSTOMER_ID': 5}")))
+               .when(how == "2", F.lit("not a message"))
+               .when(how == "3", F.lit(None))
+               .when(how == "4", F.lit(""))
+               .when(how == "5", M.json_string(F.lit("{'TRANSACTION_ID': 'x', 'CUSTOMER_ID': 5}")))
+               .otherwise(body))
+    _good, dead = M.split_dead_letters(M.decode_raw_messages(msgs.withColumn("value", damaged)))
+    return dead.select("key", F.col("value").isNotNull().alias("has_body"))
+
+
+@query("topic_audit", f"""WITH {Q.TX}
+SELECT 'raw_data' AS topic, CAST(CUSTOMER_ID % 3 AS INTEGER) AS partition, CAST(count(*) AS BIGINT) AS n_messages,
+       min(TRANSACTION_ID) AS min_offset, max(TRANSACTION_ID) AS max_offset FROM tx GROUP BY 2""")
+def topic_audit(spark, sf_dir):
+    """Message counts and offset ranges; customers spread over three partitions, ids as offsets."""
     tx = src.transactions(spark, sf_dir)
-    _good, dead = M.split_dead_letters(M.decode_raw_messages(M.encode_raw_messages(tx)))
-    return dead.select("key")
+    return scoring.topic_audit(tx.select(F.lit("raw_data").alias("topic"),
+                                         (F.col(S.CUSTOMER_ID) % 3).cast("int").alias("partition"),
+                                         F.col(S.TX_ID).alias("offset")))
+
+
+@query("aligned_batch", f"WITH {Q.TX} SELECT * EXCLUDE (sec) FROM tx")
+def aligned_batch(spark, sf_dir):
+    """Columns as text, in reverse order and beside another, brought to the declared schema."""
+    tx = src.transactions(spark, sf_dir)
+    given = tx.select(F.lit("x").alias("other"), *[F.col(c).cast("string").alias(c) for c in reversed(S.RAW_COLUMNS)])
+    return src.align_to(given, S.RAW_TRANSACTION)
 
 
 @query("message_times", f"""WITH {Q.TX}
@@ -86,6 +115,30 @@ def daily_partitions(spark, sf_dir):
     return _partition_summary(src.replace_minus_one(back), S.TX_DATE)
 
 
+@query("daily_append", _PARTITION_SQL.format(part="strftime(TX_DATETIME, '%Y-%m-%d')", name="TX_DATE"))
+def daily_append(spark, sf_dir):
+    """Rows of even ids written first, the others appended to the same day folders."""
+    path = scratch_path(spark, f"append-{uuid.uuid4().hex}")
+    tx = src.transactions(spark, sf_dir)
+    sinks.write_daily(tx.where(F.col(S.TX_ID) % 2 == 0), path)
+    sinks.write_daily(tx.where(F.col(S.TX_ID) % 2 != 0), path, mode="append")
+    return _partition_summary(sinks.read_partitioned(spark, path, S.RAW_TRANSACTION, S.TX_DATE), S.TX_DATE)
+
+
+@query("order_within_day", f"""WITH {Q.TX}
+SELECT strftime(TX_DATETIME, '%Y-%m-%d') AS TX_DATE, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(0 AS BIGINT) AS n_out_of_order FROM tx GROUP BY 1""")
+def order_within_day(spark, sf_dir):
+    """O3: rows of a day's files that are earlier than the row before them."""
+    path = scratch_path(spark, f"order-{uuid.uuid4().hex}")
+    sinks.write_daily(src.transactions(spark, sf_dir), path)
+    back = sinks.read_partitioned(spark, path, S.RAW_TRANSACTION, S.TX_DATE).select(
+        S.TX_DATE, S.TX_TIME_SECONDS, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("i"))
+    before = F.lag(S.TX_TIME_SECONDS).over(Window.partitionBy(S.TX_DATE, "file").orderBy("i"))
+    return (back.withColumn("late", F.coalesce((F.col(S.TX_TIME_SECONDS) < before).cast("long"), F.lit(0).cast("long")))
+            .groupBy(S.TX_DATE).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("late").alias("n_out_of_order")))
+
+
 @query("monthly_partitions", _PARTITION_SQL.format(part="strftime(TX_DATETIME, '%Y-%m')", name="TX_MONTH"))
 def monthly_partitions(spark, sf_dir):
     """One folder per month, read back and counted."""

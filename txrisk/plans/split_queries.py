@@ -29,20 +29,24 @@ def _split(spark, sf_dir):
     return sp.train_val_split(tx, start, T_DAYS, L_DAYS, V_DAYS)
 
 
-SPLIT_SQL = f"""
-WITH {Q.TX},
-st AS (SELECT arg_max(TX_DATETIME, TRANSACTION_ID) - INTERVAL {START_BACK} DAY AS start FROM tx),
-train AS (SELECT tx.* FROM tx, st WHERE tx.TX_DATETIME >= st.start AND tx.TX_DATETIME < st.start + INTERVAL {T_DAYS} DAY),
+def split_ctes(rows: str) -> str:
+    """CTEs ``train`` and ``val`` of the time split of the table ``rows``."""
+    return f"""
+st AS (SELECT arg_max(TX_DATETIME, TRANSACTION_ID) - INTERVAL {START_BACK} DAY AS start FROM {rows}),
+train AS (SELECT r.* FROM {rows} r, st WHERE r.TX_DATETIME >= st.start AND r.TX_DATETIME < st.start + INTERVAL {T_DAYS} DAY),
 s AS (SELECT min(TX_TIME_DAYS) AS s FROM train),
 val AS (
-  SELECT v.* FROM tx v, s
+  SELECT v.* FROM {rows} v, s
   WHERE v.TX_TIME_DAYS BETWEEN s.s + {T_DAYS + L_DAYS} AND s.s + {T_DAYS + L_DAYS + V_DAYS - 1}
     AND NOT EXISTS (SELECT 1 FROM train t WHERE t.CUSTOMER_ID = v.CUSTOMER_ID AND t.TX_FRAUD = 1)
-    AND NOT EXISTS (SELECT 1 FROM tx f WHERE f.CUSTOMER_ID = v.CUSTOMER_ID AND f.TX_FRAUD = 1
+    AND NOT EXISTS (SELECT 1 FROM {rows} f WHERE f.CUSTOMER_ID = v.CUSTOMER_ID AND f.TX_FRAUD = 1
                       AND f.TX_TIME_DAYS BETWEEN s.s + {T_DAYS - 1} AND v.TX_TIME_DAYS - {L_DAYS + 1})
 )"""
 
 
+SPLIT_SQL = f"WITH {Q.TX}, {split_ctes('tx')}"
+
+
 @query("train_set", SPLIT_SQL + " SELECT TRANSACTION_ID, TX_DATETIME, CUSTOMER_ID, TX_TIME_DAYS, TX_FRAUD FROM train")
 def train_set(spark, sf_dir):
     return _split(spark, sf_dir)[0].select(*SPLIT_COLS)
