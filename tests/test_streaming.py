@@ -64,3 +64,55 @@ def test_snapshot_refresh_is_seen_between_batches(spark):
     rejected = spark.read.parquet(f"{base}/out/rejected").count()
     scored = spark.read.parquet(f"{base}/out/predictions").count()
     assert len(calls) == 2 and rejected == 1 and scored == 1
+
+
+def test_bodies_are_parsed_once(spark):
+    msgs = spark.createDataFrame([("1", "{'TRANSACTION_ID': 1}")], "key string, value string")
+    for df in M.split_dead_letters(M.decode_raw_messages(msgs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json") == 1
+
+
+def test_json_strings_with_escapes(spark):
+    texts = ['a "quoted" \\ backslash', "line\nbreak\ttab", "caf\u00e9 \u4e16", "{'TRANSACTION_ID': 7}", ""]
+    df = spark.createDataFrame([(x,) for x in texts], "t string")
+    assert [r[0] for r in df.select(M.unwrap_body(M.json_string(F.col("t")))).collect()] == texts
+    escaped = spark.createDataFrame([('"{\'TRANSACTION_ID\': \\u0037}"',), ('"{\'TRANSACTION_ID\': 7',), (None,)],
+                                    "value string").withColumn("key", F.lit("7"))
+    good, dead = M.split_dead_letters(M.decode_raw_messages(escaped))
+    assert [r[S.TX_ID] for r in good.collect()] == [7] and dead.count() == 2
+
+
+def test_topic_writer_options():
+    class Recorder:
+        def __init__(self):
+            self.calls = []
+
+        def __getattr__(self, name):
+            if name == "write":
+                return self
+
+            def call(*args):
+                self.calls.append((name, *args))
+                return self
+            return call
+
+    rows = Recorder()
+    st.kafka_writer("host:1", "predictions", **{"kafka.acks": "all"})(rows, 0)
+    assert rows.calls == [("select", "key", "value"), ("format", "kafka"),
+                          ("option", "kafka.bootstrap.servers", "host:1"), ("option", "kafka.acks", "all"),
+                          ("option", "topic", "predictions"), ("save",)]
+
+
+def test_published_messages_are_the_written_ones(spark):
+    D = dt.datetime(2024, 1, 1)
+    tx = tx_frame(spark, [(i, D + dt.timedelta(hours=i), i % 3, i % 2, 10.0 + i, i % 2) for i in range(12)])
+    processed = feat.feature_table(tx, lookback_days=None)
+    model = md.fit(processed, {"numTrees": 2, "maxDepth": 2})
+    base = scratch_path(spark, f"test-publish-{uuid.uuid4().hex}")
+    M.encode_raw_messages(tx.select(*S.MESSAGE_FIELDS)).coalesce(1).write.json(f"{base}/in")
+    sent = []
+    st.start_scoring(st.file_message_stream(spark, f"{base}/in"), lambda: processed, model, f"{base}/out",
+                     f"{base}/ckpt", publish=lambda df, i: sent.extend(df.collect())).awaitTermination()
+    assert len(sent) == 12
+    assert sorted(sent) == sorted(spark.read.parquet(f"{base}/out/predictions").select("key", "value").collect())

@@ -1,8 +1,8 @@
 """Student t distribution tail for the two-sample test.
 
 The two-sided p-value of t with df degrees of freedom is the regularised
-incomplete beta I_x(df/2, 1/2) at x = df / (df + t^2), evaluated with the
-continued fraction of the published Numerical-Recipes form (modified Lentz).
+incomplete beta I_x(df/2, 1/2) at x = df / (df + t^2), evaluated with its
+continued fraction (NIST Digital Library of Mathematical Functions, 8.17.22).
 Used through a pandas UDF on the one-row test result.
 """
 
@@ -14,46 +14,34 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F, types as T
 
-_EPS = 1e-15
-_TINY = 1e-300
+def _partial_numerator(k: int, a: float, b: float, x: float) -> float:
+    """k-th coefficient of the continued fraction of I_x(a, b), from 1 on (DLMF 8.17.23)."""
+    m, odd = divmod(k, 2)
+    if odd:
+        return -x * (a + m) * (a + b + m) / ((a + 2 * m) * (a + 2 * m + 1))
+    return x * m * (b - m) / ((a + 2 * m - 1) * (a + 2 * m))
 
 
-def _betacf(a: float, b: float, x: float, max_iter: int = 500) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _TINY else _TINY)
-    h = d
-    for m in range(1, max_iter + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return h
+def _fraction(a: float, b: float, x: float, tolerance: float = 1e-14) -> float:
+    """1 / (1 + d1 / (1 + d2 / ...)), evaluated from its end; the depth doubles until the value stands."""
+    depth, last = 16, math.inf
+    while True:
+        value = 1.0
+        for k in range(depth, 0, -1):
+            value = 1.0 + _partial_numerator(k, a, b, x) / value
+        if abs(value - last) <= tolerance * abs(value) or depth >= 1 << 16:
+            return 1.0 / value
+        depth, last = 2 * depth, value
 
 
 def betainc_regularized(a: float, b: float, x: float) -> float:
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    log_front = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                 + a * math.log(x) + b * math.log1p(-x))
-    front = math.exp(log_front)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
+    """I_x(a, b) by the fraction where it converges fast, else by 1 - I_{1-x}(b, a)."""
+    if x <= 0.0 or x >= 1.0:
+        return float(x >= 1.0)
+    if x > (a + 1.0) / (a + b + 2.0):
+        return 1.0 - betainc_regularized(b, a, 1.0 - x)
+    log_beta = math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+    return math.exp(a * math.log(x) + b * math.log1p(-x) - log_beta) / a * _fraction(a, b, x)
 
 
 def t_two_sided_p(t: float, df: float) -> float:

@@ -25,9 +25,9 @@ def _forest_stage(model: PipelineModel):
 
 def load_trees(spark: SparkSession, model_path: str) -> list[dict]:
     """Flat arrays per tree from the saved forest stage's node table."""
-    import os
-    stages = sorted(os.listdir(f"{model_path}/stages")) if os.path.isdir(f"{model_path}/stages") else None
-    stage_dir = f"{model_path}/stages/{stages[-1]}" if stages else model_path
+    from ..sources.sinks import folder_exists
+    whole = folder_exists(spark, f"{model_path}/stages")
+    stage_dir = f"{model_path}/stages/*_RandomForest*" if whole else model_path
     nodes = spark.read.parquet(f"{stage_dir}/data").select(
         "treeID", F.col("nodeData.id").alias("id"), F.col("nodeData.impurityStats").alias("stats"),
         F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),

@@ -19,11 +19,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
+from ..sources.transactions import AMOUNT_THRESHOLD
 from ..functions.hashing import md5_key
 from .sampling import lowest_k_per_group
 
 # Fixed values of the rules.
-AMOUNT_THRESHOLD = 220.0
 INCIDENT_DAYS = 14
 AMOUNT_MULTIPLIER = 5.0
 CUSTOMER_FRACTION_DIVISOR = 3

@@ -2,7 +2,7 @@
 
 A snapshot holds, per key, the feature values of the key's last transaction
 (greatest TX_DATETIME, then greatest TRANSACTION_ID). It is a grouped
-``max_by`` of a struct: a hash aggregate with map-side partial aggregation, so
+``max_by`` of a struct, aggregated on the map side before the shuffle, so
 a key holding a third of all rows is reduced before the shuffle instead of
 being sorted in one task.
 

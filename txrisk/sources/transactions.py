@@ -83,12 +83,6 @@ def replace_minus_one(df: DataFrame, columns: list[str] | None = None) -> DataFr
     return df.replace(-1, 0, subset=cols) if cols else df
 
 
-def parse_time(col) -> "F.Column":
-    """Text time to TIMESTAMP_NTZ."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.to_timestamp_ntz(c)
-
-
 def latest_partition(df: DataFrame, day_col: str = S.TX_TIME_DAYS) -> DataFrame:
     """Rows of the newest day.
 
