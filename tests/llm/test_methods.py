@@ -125,6 +125,17 @@ def test_planted_passage_is_removed(spark):
     assert all(len(got[i].split()) == 83 for i in range(2, 6))
 
 
+def test_passage_with_signs_strewn_in_is_removed(spark):
+    r = random.Random(6)
+    line = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    passage = ". ".join(line(12) for _ in range(5)) + "."
+    signs = " ".join(w + r.choice(["***", "$$$", " %%%", "\"", ")"]) for w in passage.split())
+    rows = [(1, f"{line(40)}.\n{passage}\n{line(30)}."), (2, f"{line(40)}.\n{signs}\n{line(30)}.")]
+    got = {r.doc_id: r for r in substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].n_removed == 0 and got[2].n_removed > 0
+    assert len(fold_words(got[2].clean.encode())) == 70
+
+
 def test_every_long_shared_span_has_a_common_fingerprint():
     r = random.Random(3)
     for _ in range(50):

@@ -1,8 +1,11 @@
 """Substring deduplication by sliding sentence spans (operator 10).
 
-A text is cut into sentences. Every run of several consecutive sentences (at
-least two, with at least ``MIN_WORDS`` words, as short as that allows, from
-each sentence on and up to each sentence) is hashed and joined over all texts.
+A text is cut into sentences: at line ends, and between two words where a mark
+of ``.!?`` and later a blank stand, whatever signs are beside them (so that a
+copy with signs strewn in has the same sentences). Every run of several
+consecutive sentences (at least two, with at least ``MIN_WORDS`` words, as short
+as that allows, from each sentence on and up to each sentence) is hashed and
+joined over all texts.
 The run's first occurrence stays; sentences covered by any other occurrence are
 removed. Runs are taken in both directions so that a repeated passage is
 covered from its first to its last sentence.
@@ -51,10 +54,11 @@ class Sentences:
         raw = np.frombuffer(b"\n".join(t or b"" for t in texts), dtype=np.uint8)
         self.first = np.zeros(0, dtype=np.int64)  # first word of each sentence
         if w.n:
-            after = np.append(raw[1:], 10)
-            mark = np.cumsum((raw == 10) | (ENDS[raw] & BLANK[after]))
-            at = mark[w.start]
-            new = np.append(True, at[1:] != at[:-1])
+            ends, blanks, lines = (np.flatnonzero(x) for x in (ENDS[raw], BLANK[raw], raw == 10))
+            lo, hi = w.end[:-1], w.start[1:]
+            mark = np.append(ends, len(raw))[np.searchsorted(ends, lo)]
+            blank, line = (np.append(-1, x)[np.searchsorted(x, hi)] for x in (blanks, lines))
+            new = np.append(True, (line >= lo) | (mark < blank))
             first = np.flatnonzero(new)
             size = np.diff(np.append(first, w.n))
             self.first = np.flatnonzero(new | (np.repeat(size, size) > SENTENCE_WORDS) & (w.hash % CUT == 0))
