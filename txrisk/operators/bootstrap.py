@@ -2,9 +2,9 @@
 
 E1: each model's scored rows are resampled with replacement, full size, R
 times. Draw k of replicate r picks row ``md5(seed:model:r:k) mod N``: exactly
-N draws per replicate, deterministic, no driver loop. Draws are counted per
-(model, replicate, row) into weights, joined to the rows, and the weighted
-exact AUC is computed per (model, replicate) with the distributed metric.
+N draws per replicate, deterministic, no driver loop. Draws are joined to the
+rows and counted per (model, replicate, score); the exact AUC of each (model,
+replicate) comes from these counts with the distributed metric.
 
 E2: two-sample equal-variance t-test on the replicate AUCs; promote the
 challenger when p < alpha and its mean AUC is not below the champion's.
@@ -45,12 +45,13 @@ def bootstrap_auc(scores: DataFrame, replicates: int = REPLICATES, seed: int = 4
     slots = rows.select(model_col, "_i", "_n").repartition(n).select(model_col, "_i", "_n", reps)
     draws = slots.select(model_col, "replicate",
                          (md5_key60(F.lit(str(seed)), model_col, "replicate", "_i") % F.col("_n")).alias("_j"))
-    # One shuffle on (model, row index) serves both the multiplicity count and the
-    # join back to the rows.
-    weights = (draws.repartition(n, model_col, "_j")
-               .groupBy(model_col, "_j", "replicate").agg(F.count(F.lit(1)).alias("_w")))
-    picked = weights.join(rows.select(model_col, F.col("_i").alias("_j"), label_col, score_col), [model_col, "_j"])
-    return roc_auc(picked, label_col, score_col, group_cols=[model_col, "replicate"], weight_col="_w",
+    # A row drawn twice is met twice by the join, so draws need no counting by row
+    # before their scores are known. The rows are ``replicates`` times fewer than
+    # the draws: partitions that fit the draws hold a small hash table of rows,
+    # and the draws are not sorted.
+    drawn = rows.select(model_col, F.col("_i").alias("_j"), label_col, score_col).hint("shuffle_hash")
+    picked = draws.repartition(n, model_col, "_j").join(drawn, [model_col, "_j"])
+    return roc_auc(picked, label_col, score_col, group_cols=[model_col, "replicate"],
                    cuts_from=rows.select(score_col), materialize=True)
 
 
