@@ -186,6 +186,22 @@ def test_language_model_knows_word_order(spark):
     assert np.mean(list(real.values())) > np.mean(list(wrong.values()))
 
 
+def test_rare_words_have_their_own_probability(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("length(text) > 300").select("doc_id", "text")
+    r = random.Random(2)
+    junk = [(-i, " ".join("".join(r.choice("qxzjkvwpyfbg") for _ in range(8)) for _ in range(60))) for i in range(1, 21)]
+    words = language_model.vocabulary(docs)
+    model = language_model.trained(docs, words)
+    clean, gibberish = ([x.mean_log_probability for x in language_model.score(d, words=words, model=model).collect()]
+                        for d in (docs, spark.createDataFrame(junk, "doc_id long, text string")))
+    assert max(gibberish) < min(np.mean(clean), np.median(clean)) - 5
+    # The shares of all one- and two-byte words and of what begins longer ones are one; buckets follow the words.
+    p = np.exp(words.spelling.log.astype(float)).reshape((language_model.SYMBOLS,) * 3)
+    assert np.allclose(p.sum(-1), 1, atol=1e-4)
+    few = language_model.vocabulary(docs.limit(50))
+    assert 0 < few.buckets < words.buckets
+
+
 def test_pipeline_equals_its_operators(spark):
     rows = corpus_pipeline.run(spark, SF001).collect()
     left = {r.doc_id for r in quality.judged(table(spark, SF001, "documents")).where("kept").collect()}

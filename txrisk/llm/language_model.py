@@ -6,15 +6,23 @@ squashed, and a two-step softmax (word class, then word in the class) gives the
 probability of the hidden word. A document's score is the sum of the log
 probabilities of all its words, each seen from both sides.
 
+The most frequent words are predicted one by one. A rarer word's probability is
+that of a rare word at its place times its own share among rare words, which its
+spelling gives: a model of each byte after the two before it, counted over all
+rare words of all documents. As neighbours, rare words stand in hashed buckets,
+each with a vector of its own; their number follows the root of the distinct words.
+
 Training runs where the data is: each task starts from the same parameters,
 trains in numpy on all words of its partition, and hands on its parameters
 weighted by its words; Spark averages them row by row with partial sums. So
 what is gathered grows with the input, while the driver and every task hold one
-model of fixed size (about 300 KB). The vocabulary counts all documents.
+model (about 300 KB and 68 bytes for each bucket) and the spelling (18 MB). The
+vocabulary counts all documents.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -23,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, fold_words, map_texts, quoted, slices
+from .common import FOLD, Words, discard, fold_words, map_texts, quoted, slices, stored
 
 CLASSES = 32
 PER_CLASS = 64
@@ -38,10 +46,93 @@ BOUND = np.float32(4)
 RATE = 0.15
 FLUSH_WORDS = 200_000
 SEED = 7
+#: Buckets of rare words for the root of the distinct words.
+BUCKETS = 16
+
+#: Bytes of words as symbols; EDGE stands before and after a word.
+SYMBOL = np.zeros(256, dtype=np.int32)
+_IN_WORDS = [b for b in range(256) if FOLD[b] == b and b != 32]
+EDGE = len(_IN_WORDS)
+SYMBOLS = EDGE + 1
+SYMBOL[:] = EDGE
+SYMBOL[_IN_WORDS] = np.arange(EDGE)
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text", size: int = VOCABULARY - 2) -> list[str]:
-    """The most frequent words of all documents, most frequent first (ties by word)."""
+def triples(words: Words) -> np.ndarray:
+    """Code of (the two symbols before, symbol) at each byte of the words' buffer and its end.
+
+    The places ``start`` to ``end`` of a word, both included, spell it with its end.
+    """
+    s = np.full(len(words.buf) + 3, EDGE, dtype=np.int32)
+    s[2:-1] = SYMBOL[np.frombuffer(words.buf, dtype=np.uint8)]
+    before = np.where(s[1:-1] == EDGE, EDGE, s[:-2])
+    return (before * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
+
+
+class Spelling:
+    """Log probability of a rare word by its bytes, each after the two before it (Witten-Bell)."""
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        n = np.zeros(SYMBOLS ** 3)
+        n[codes] = counts
+        n = n.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
+        pairs = n.sum(0)
+        p = (pairs.sum(0) + 1) / (pairs.sum() + SYMBOLS)
+        for c in (pairs, n):
+            kinds = np.maximum((c > 0).sum(-1, keepdims=True), 1)
+            p = (c + kinds * p) / (c.sum(-1, keepdims=True) + kinds)
+        # No word is empty.
+        p[EDGE, EDGE, EDGE] = 0
+        p[EDGE, EDGE] /= p[EDGE, EDGE].sum()
+        with np.errstate(divide="ignore"):
+            self.log = np.log(p, out=p).astype(np.float32).ravel()
+
+    def of(self, words: Words, at: np.ndarray) -> np.ndarray:
+        """Log probabilities of the words at ``at``."""
+        if not len(at):
+            return np.zeros(0)
+        start, size = words.start[at], words.end[at] - words.start[at] + 1
+        first = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) + np.repeat(start - first, size)
+        return np.add.reduceat(self.log[triples(words)[place]].astype(float), first)
+
+
+class Vocabulary(list):
+    """The words with a probability of their own, most frequent first, and what is known of the others."""
+
+    def __init__(self, words, buckets: int = 0, spelling: Spelling | None = None):
+        super().__init__(words)
+        self.buckets = buckets
+        self.spelling = spelling or Spelling(np.zeros(0, dtype=np.int64), np.zeros(0))
+
+
+def spelled(counts: DataFrame, known: list[str]) -> Spelling:
+    """The spelling of all words of ``counts`` (word, n) that are not ``known``, each n times."""
+    listed = counts.sparkSession.sparkContext.broadcast(set(known))
+
+    def count(batches):
+        total = np.zeros(SYMBOLS ** 3, dtype=np.int64)
+        for b in batches:
+            rare = [(w.encode(), n) for w, n in zip(*(c.to_pylist() for c in b.columns)) if w not in listed.value]
+            if not rare:
+                continue
+            words = Words([w for w, _ in rare])
+            times = np.zeros(len(words.buf) + 2, dtype=np.int64)
+            n = np.array([n for _, n in rare], dtype=np.int64)
+            times[words.start] += n
+            times[words.end + 1] -= n
+            code, where = np.unique(triples(words), return_inverse=True)
+            total[code] += np.bincount(where, np.cumsum(times)[:-1], minlength=len(code)).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["code", "n"])
+
+    # At most one row for each triple of symbols comes back.
+    found = counts.mapInArrow(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    return Spelling(found["code"].to_numpy(dtype=np.int64), found["n"].to_numpy(dtype=np.int64))
+
+
+def vocabulary(docs: DataFrame, text_col: str = "text", size: int = VOCABULARY - 2) -> Vocabulary:
+    """The most frequent words of all documents, most frequent first (ties by word), and all others' spelling."""
     def count(batches):
         seen: Counter = Counter()
 
@@ -60,17 +151,22 @@ def vocabulary(docs: DataFrame, text_col: str = "text", size: int = VOCABULARY -
                     yield flush()
         yield flush()
 
-    return [r[0] for r in docs.select(quoted(text_col).cast("binary").alias("text"))
-            .mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "word").limit(size).select("word").collect()]
+    counts = stored(docs.select(quoted(text_col).cast("binary").alias("text"))
+                    .mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    words = [r[0] for r in counts.orderBy(F.desc("n"), "word").limit(size).select("word").collect()]
+    rare = counts.count() - len(words)
+    out = Vocabulary(words, math.ceil(BUCKETS * math.sqrt(rare)), spelled(counts, words))
+    discard(counts)
+    return out
 
 
 class Ids:
-    """Word ids by hash."""
+    """Word ids by hash; as neighbours, words outside the vocabulary have the ids of their buckets."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self, words: list[str], buckets: int = 0):
         h = Words([w.encode() for w in words]).hash
         order = np.argsort(h)
+        self.buckets = buckets
         self.hash, self.id = h[order], (order + 2).astype(np.int64)
 
     def of(self, h: np.ndarray) -> np.ndarray:
@@ -79,17 +175,20 @@ class Ids:
         at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
         return np.where(self.hash[at] == h, self.id[at], OTHER)
 
-    def windows(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all words, those of their neighbours (one column for each place), and the words' texts."""
+    def windows(self, texts: list) -> tuple[np.ndarray, np.ndarray, Words]:
+        """Ids of all words, those of their neighbours (one column for each place), and the words."""
         words = Words(texts)
         ids = self.of(words.hash)
+        seen = ids
+        if self.buckets:
+            seen = np.where(ids == OTHER, VOCABULARY + (words.hash % np.uint64(self.buckets)).astype(np.int64), ids)
         n = len(ids)
-        near = np.full((n, 2 * REACH), BEYOND, dtype=np.uint16)
+        near = np.full((n, 2 * REACH), BEYOND, dtype=np.uint16 if VOCABULARY + self.buckets < 1 << 16 else np.int32)
         for c, k in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
             i = np.arange(max(0, -k), min(n, n - k))
             same = words.text[i] == words.text[i + k]
-            near[i[same], c] = ids[i[same] + k]
-        return ids, near, words.text
+            near[i[same], c] = seen[i[same] + k]
+        return ids, near, words
 
 
 class Window:
@@ -97,17 +196,20 @@ class Window:
 
     ROWS = 2 * VOCABULARY + CLASSES + 2 * REACH + 1
 
-    def __init__(self, rows: np.ndarray | None = None):
+    def __init__(self, rows: np.ndarray | None = None, buckets: int = 0):
+        """New parameters with so many buckets, or given ``rows``."""
         if rows is None:
             rng = np.random.default_rng(SEED)
-            rows = rng.normal(0, 0.1, (self.ROWS, DIM + 1)).astype(np.float32)
+            rows = rng.normal(0, 0.1, (self.ROWS + buckets, DIM + 1)).astype(np.float32)
             rows[:, DIM] = 0
             rows[-1 - 2 * REACH:-1, :DIM] = 1
             rows[-1] = 0
         self.rows = rows
-        self.vector = rows[:VOCABULARY, :DIM]
-        self.word = rows[VOCABULARY:2 * VOCABULARY]
-        self.group = rows[2 * VOCABULARY:2 * VOCABULARY + CLASSES]
+        self.buckets = len(rows) - self.ROWS
+        self.seen = VOCABULARY + self.buckets
+        self.vector = rows[:self.seen, :DIM]
+        self.word = rows[self.seen:self.seen + VOCABULARY]
+        self.group = rows[self.seen + VOCABULARY:self.seen + VOCABULARY + CLASSES]
         self.place = rows[-1 - 2 * REACH:-1, :DIM]
         self.bias = rows[-1, :DIM]
 
@@ -147,15 +249,16 @@ class Window:
         ids, near = ids[order], near[order]
         h = self.hidden(near)
         step = np.zeros_like(self.rows)
-        vector, word = step[:VOCABULARY], step[VOCABULARY:2 * VOCABULARY]
+        vector, word = step[:self.seen], step[self.seen:self.seen + VOCABULARY]
+        group = step[self.seen + VOCABULARY:self.seen + VOCABULARY + CLASSES]
         inside = ids % PER_CLASS
         g = np.exp(h @ self.group[:, :DIM].T + self.group[:, DIM])
         g /= g.sum(1, keepdims=True)
         for c, a, b in ranges:
             g[a:b, c] -= 1
         back = g @ self.group[:, :DIM]
-        step[2 * VOCABULARY:2 * VOCABULARY + CLASSES, :DIM] = g.T @ h
-        step[2 * VOCABULARY:2 * VOCABULARY + CLASSES, DIM] = g.sum(0)
+        group[:, :DIM] = g.T @ h
+        group[:, DIM] = g.sum(0)
         for c, a, b in ranges:
             rows = slice(c * PER_CLASS, (c + 1) * PER_CLASS)
             own, seen = self.word[rows], h[a:b]
@@ -184,14 +287,15 @@ def trained(docs: DataFrame, words: list[str], text_col: str = "text", rounds: i
     """The network after ``rounds`` rounds of training over all documents and averaging."""
     spark = docs.sparkSession
     src = docs.select(quoted(text_col).cast("binary").alias("text"))
-    model = Window()
+    model = Window(buckets=getattr(words, "buckets", 0))
     names = [f"v{i}" for i in range(DIM + 1)]
     for _ in range(rounds):
-        sent = spark.sparkContext.broadcast((words, model.rows))
+        sent = spark.sparkContext.broadcast((list(words), model.rows))
 
         def train(batches, sent=sent):
             known, rows = sent.value
-            ids_of, model = Ids(known), Window(rows.copy())
+            model = Window(rows.copy())
+            ids_of = Ids(known, model.buckets)
             scale = np.full_like(rows, 0.1)
             total = 0
             for b in batches:
@@ -223,23 +327,29 @@ def score(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None
 
     New columns: ``n_words long``, ``log_likelihood double`` (the sum over all
     words; 0 without words) and ``mean_log_probability double`` (null without
-    words). Without ``words`` and ``model`` they are made from the documents.
+    words). Without ``words`` and ``model`` they are made from the documents; a
+    plain list of words spells every other word from even odds.
 
     One row for each input row, repeated rows too. A null or empty text has no
     words. Texts of any length are read whole. An empty table trains nothing and
     gives an empty result. Input columns named like new ones give way.
     """
     words = vocabulary(docs, text_col) if words is None else words
+    words = words if isinstance(words, Vocabulary) else Vocabulary(words)
     model = trained(docs, words, text_col) if model is None else model
-    sent = docs.sparkSession.sparkContext.broadcast((words, model.rows))
+    sent = docs.sparkSession.sparkContext.broadcast((list(words), words.spelling, model.rows))
 
     def make():
-        known, rows = sent.value
-        ids_of, net = Ids(known), Window(rows)
+        known, spelling, rows = sent.value
+        net = Window(rows)
+        ids_of = Ids(known, net.buckets)
 
         def compute(texts):
-            ids, near, of = ids_of.windows(texts)
-            total = np.bincount(of, net.log_probability(ids, near), minlength=len(texts))
+            ids, near, words = ids_of.windows(texts)
+            of, log = words.text, net.log_probability(ids, near)
+            rare = np.flatnonzero(ids == OTHER)
+            log[rare] += spelling.of(words, rare)
+            total = np.bincount(of, log, minlength=len(texts))
             return {"n_words": np.bincount(of, minlength=len(texts)).tolist(), "log_likelihood": total.tolist()}
         return compute
 
