@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -81,6 +82,27 @@ def test_verdicts_follow_the_labels(spark):
     assert np.mean(clean) >= 0.99 and np.mean(junk) <= 0.5
 
 
+def test_clean_documents_stay_whatever_their_language_is_called(spark):
+    d = "/root/testdata/sf0.01"
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    rows = docs.join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id").persist()
+    refs = quality.references(docs)
+    nameless = rows.withColumn("real", rows.lang).withColumn("lang", F.lit(None).cast("string"))
+    got = [r for r in quality.judged(nameless, refs=refs).collect() if not r.base_failed]
+    for lang in ("de", "en", "es", "fr"):
+        assert np.mean([r.kept for r in got if r.real == lang and r.quality == 1]) >= 0.95, lang
+    assert np.mean([r.kept for r in got if r.quality == 0]) <= 0.5
+    # A fifth language has a reference of its own, and one of a few words is not judged by others'.
+    for name, of in (("xx", docs), ("yy", docs.where("lang <> 'de'").union(rows.where("lang = 'de' and quality = 1").select("doc_id", "text", "lang").limit(3)))):
+        mine = of.withColumn("lang", F.when(F.col("lang") == "de", name).otherwise(F.col("lang")))
+        found = quality.judged(mine).where(F.col("lang") == name).join(table(spark, d, "labels"), "doc_id").collect()
+        kept = [r.kept for r in found if r.quality == 1 and not r.base_failed]
+        assert kept and np.mean(kept) >= 0.95
+    # Without any language only the counting rules judge.
+    bare = docs.limit(200).withColumn("lang", F.lit(None).cast("string"))
+    assert all(r.kept != r.base_failed and r.word_distance is None for r in quality.judged(bare).collect())
+
+
 def sentences(text):
     out = []
     for part in re.split(r"(?<=[.!?])[\x20\x09-\x0d]|\n", text):

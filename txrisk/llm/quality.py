@@ -6,11 +6,13 @@ Jensen-Shannon distance. Short texts are noisy, so each test has a minimum
 length and the word test a margin that shrinks with the square root of the
 length. Counting rules (short texts, repeated 8-word windows) come first.
 
-The references are counted over the whole corpus: each task counts classes and
-words by language and hands on partial sums, Spark adds them up, and only the
-most common words are kept. What is sent to the tasks has a fixed size:
-(languages + 1) x (classes + words). Then one map over whole texts judges
-every row by itself.
+The references are counted over the whole corpus, one for each value of the
+language column with enough words: each task counts classes and words by
+language and hands on partial sums, Spark adds them up, and only the most common
+words are kept. What is sent to the tasks follows the number of languages:
+languages x (classes + words). Then one map over whole texts judges every row
+by itself. A row without language is held against the nearest reference; a
+language with too few words for a reference takes no distribution test.
 """
 
 from __future__ import annotations
@@ -25,9 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, Words, fold_words, map_texts, mix64, quoted, slices
 
-#: Languages with a reference of their own; any other is held against all documents.
-LANGUAGES = ("de", "en", "es", "fr")
-POOLED = "*"
+#: Words of a language, over all documents, from which it has a reference.
+REFERENCE_WORDS = 2000
 COMMON_WORDS = 100
 #: Distinct words that a task counts before it hands on partial sums.
 FLUSH_WORDS = 200_000
@@ -135,8 +136,9 @@ class References:
     """Class and common-word histograms of each language, in fixed-size arrays."""
 
     def __init__(self, classes: dict[str, np.ndarray], words: dict[str, dict[str, int]], totals: dict[str, int]):
-        self.names = [*LANGUAGES, POOLED]
-        self.classes = np.array([classes.get(x, np.zeros(CLASSES)) for x in self.names], dtype=float)
+        self.names = sorted(totals)
+        self.place = {x: i for i, x in enumerate(self.names)}
+        self.classes = np.array([classes.get(x, np.zeros(CLASSES)) for x in self.names], dtype=float).reshape(-1, CLASSES)
         union = sorted({w for x in words.values() for w in x})
         own = Words([w.encode() for w in union])
         order = np.argsort(own.hash)
@@ -144,30 +146,49 @@ class References:
         place = {union[i]: r for r, i in enumerate(order.tolist())}
         self.words = np.zeros((len(self.names), COMMON_WORDS + 1))
         # Where the union's words stand in each language's histogram; last: any other word.
-        self.slot = np.full((len(self.names), len(union) + 1), COMMON_WORDS, dtype=np.int64)
+        self.slot = np.full((len(self.names), len(union) + 1), COMMON_WORDS, dtype=np.uint8)
         for i, x in enumerate(self.names):
             for j, (w, n) in enumerate(sorted(words.get(x, {}).items(), key=lambda e: (-e[1], e[0]))):
                 self.words[i, j] = n
                 self.slot[i, place[w]] = j
             self.words[i, COMMON_WORDS] = totals.get(x, 0) - self.words[i].sum()
 
-    def of(self, lang) -> int:
-        return self.names.index(lang) if lang in LANGUAGES else len(LANGUAGES)
-
     def distances(self, texts: list, langs: list) -> tuple[np.ndarray, np.ndarray]:
-        ref = np.array([self.of(x) for x in langs], dtype=np.int64)
+        """Class and word distance of each text to its reference, without language to the
+        nearest (each distance by itself); NaN where there is none."""
         words = Words(texts)
         at = np.searchsorted(self.hashes, words.hash)
         known = np.append(self.hashes, np.uint64(0))[at] == words.hash
         known &= at < len(self.hashes)
-        slot = self.slot[ref[words.text], np.where(known, at, len(self.hashes))]
-        seen = np.bincount(words.text * (COMMON_WORDS + 1) + slot, minlength=len(texts) * (COMMON_WORDS + 1))
-        return (distance(class_histograms(texts).astype(float), self.classes[ref]),
-                distance(seen.reshape(-1, COMMON_WORDS + 1).astype(float), self.words[ref]))
+        at = np.where(known, at, len(self.hashes))
+        classes = class_histograms(texts).astype(float)
+        out = np.full((2, len(texts)), np.nan)
+
+        def against(rows: np.ndarray, ref: np.ndarray) -> np.ndarray:
+            """Distances of the texts ``rows`` to the references ``ref``."""
+            row = np.full(len(texts), -1)
+            row[rows] = np.arange(len(rows))
+            mine = row[words.text]
+            own = np.flatnonzero(mine >= 0)
+            mine = mine[own]
+            slot = self.slot[ref[mine], at[own]].astype(np.int64)
+            seen = np.bincount(mine * (COMMON_WORDS + 1) + slot, minlength=len(rows) * (COMMON_WORDS + 1))
+            return np.array([distance(classes[rows], self.classes[ref]),
+                             distance(seen.reshape(-1, COMMON_WORDS + 1).astype(float), self.words[ref])])
+
+        ref = np.array([-1 if x is None else self.place.get(x, -1) for x in langs], dtype=np.int64)
+        rows = np.flatnonzero(ref >= 0)
+        if len(rows):
+            out[:, rows] = against(rows, ref[rows])
+        rows = np.array([i for i, x in enumerate(langs) if x is None], dtype=np.int64)
+        if len(rows):
+            for k in range(len(self.names)):
+                out[:, rows] = np.fmin(out[:, rows], against(rows, np.full(len(rows), k)))
+        return out[0], out[1]
 
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:
-    """Counts over all documents; the driver gets (languages + 1) x (classes + words + 1) rows."""
+    """Counts over all documents; the driver gets languages x (classes + words + 1) rows."""
     def count(batches):
         classes: Counter = Counter()
         words: Counter = Counter()
@@ -187,9 +208,8 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
             texts, langs = b.columns
             for lo, hi in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
                 for text, lang in zip(texts.slice(lo, hi - lo).to_pylist(), langs.slice(lo, hi - lo).to_pylist()):
-                    if not text:
+                    if not text or lang is None:
                         continue
-                    lang = lang if lang in LANGUAGES else ""
                     for c, n in enumerate(class_histograms([text])[0].tolist()):
                         if n:
                             classes[lang, c] += n
@@ -202,21 +222,21 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     part = docs.select(quoted(text_col).cast("binary").alias("text"), quoted(lang_col).cast("string").alias("lang")) \
         .mapInArrow(count, "lang string, kind string, key string, n long")
     by_lang = part.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
-    both = by_lang.select(F.explode(F.array("lang", F.lit(POOLED))).alias("lang"), "kind", "key", "n") \
-        .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")).where("lang <> ''")
     rank = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    top = both.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= COMMON_WORDS).drop("r")
+    top = by_lang.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= COMMON_WORDS).drop("r")
+    total = F.max(F.when(F.col("kind") == "t", F.col("n"))).over(Window.partitionBy("lang"))
+    top = top.withColumn("total", total).where(F.col("total") >= REFERENCE_WORDS)
     classes: dict = {}
     words: dict = {}
-    total: dict = {}
+    totals: dict = {}
     for lang, kind, key, n in top.select("lang", "kind", "key", "n").collect():
         if kind == "t":
-            total[lang] = n
+            totals[lang] = n
         elif kind == "w":
             words.setdefault(lang, {})[key] = n
         else:
             classes.setdefault(lang, np.zeros(CLASSES))[int(key)] = n
-    return References(classes, words, total)
+    return References(classes, words, totals)
 
 
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None,
@@ -226,9 +246,11 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", keep
     New columns: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words
     (long), base_failed (boolean), class_distance, word_distance (double), kept
     (boolean). One row for each input row, repeated rows too. A null or empty
-    text has no words and fails the counting rules. A null or unlisted language
-    is held against the reference of all documents. Texts of any length are read
-    whole; input columns named like new ones give way. An empty table gives an
+    text has no words and fails the counting rules. A null language is held
+    against the nearest reference. A language with fewer than ``REFERENCE_WORDS``
+    words in all documents has no reference: its distances are null and only the
+    counting rules judge it, as do those without language if no language has a
+    reference. Texts of any length are read whole; input columns named like new ones give way. An empty table gives an
     empty result.
     """
     refs = references(docs, text_col, lang_col) if refs is None else refs
@@ -246,7 +268,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", keep
             odd |= (n >= WORD_MIN_WORDS) & (
                 out["word_distance"] > WORD_DISTANCE + WORD_MARGIN / np.sqrt(np.maximum(n, 1)))
             out["kept"] = ~out["base_failed"] & ~odd
-            return {k: pa.array(v) for k, v in out.items()}
+            return {k: pa.array(v, from_pandas=k.endswith("distance")) for k, v in out.items()}
         return compute
 
     return map_texts(docs, text_col, docs.columns if keep is None else keep,
