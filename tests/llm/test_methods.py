@@ -195,6 +195,28 @@ def test_tree_on_held_out_pages(spark):
         assert html_text.main_blocks(r.html, tree) == [x for x in want if x]
 
 
+STORY = "The river rose during the night and the people of the lower town carried what they could to the hill."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<html><head><title>T</title><meta charset=utf-8><body><article><p>{STORY}</p></article></body></html>", [STORY]),
+    (f"<head><title>T</title><script>if (a<b) x = '<div>';</script><article><p>{STORY}</p></article>", [STORY]),
+    (f"<head><title>T</title><template><div>no</div></template></head><body><article>{STORY}</article>", [STORY]),
+    (f"<head><title>T</title>{STORY}", [STORY]),
+    (f"<body><div><button>Menu</div><article><p>{STORY}</p></article>", [STORY]),
+    (f"<body><button>Menu<article><p>{STORY}</p></article><button>Top</button>", [STORY]),
+    (f"<body><article><p><select><option>1<option>2</p><p>{STORY}</p></article>", [STORY]),
+    (f"<body><article><div><object><param name=x></div><p>{STORY}</p></article>", [STORY]),
+    (f"<article><p><button><div>Share</div></button></p><p>{STORY}</p></article>", [STORY]),
+    (f"<article><p>{STORY}</p><p class='ad'>Buy {STORY}</p><p>{STORY}</p></article>", [STORY, STORY]),
+    (f"<article><p class=ad>Buy<p>{STORY}</article>", [STORY]),
+    (f"<article><p>{STORY}</p><ul><li class='comment'><p>I say</p><div>no</div><li>Yes.</ul></article>", [STORY, "Yes."]),
+    (f"<article><table><tr><td id=sidebar>{STORY}<td>{STORY}<tr><td>{STORY}</table></article>", [STORY, STORY]),
+])
+def test_tags_without_end_and_names_of_paragraphs(page, want):
+    assert html_text.main_blocks(page, html_text.trained()) == want
+
+
 def test_language_model_knows_word_order(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents").where("length(text) > 300")
     train, held = docs.where("doc_id % 5 <> 0"), docs.where("doc_id % 5 = 0").select("doc_id", "text")

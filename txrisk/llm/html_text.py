@@ -11,6 +11,7 @@ Pages are independent: one map over whole pages, no shuffle.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from itertools import pairwise
 
@@ -25,11 +26,25 @@ MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\
 SILENT = {"script", "style", "head", "noscript", "template", "svg", "iframe", "object", "select", "textarea",
           "button", "canvas", "math", "audio", "video"}
 RAW = {"script", "style", "textarea", "iframe", "noscript", "svg"}
+#: Tags that leave an open head open, and those of them whose content is skipped.
+HEAD_TAGS = {"html", "head", "title", "meta", "link", "base", "basefont", "bgsound", "noframes", "script", "style",
+             "noscript", "template"}
+HEAD_CONTENT = {"title", "script", "style", "noscript", "noframes", "template"}
+#: Silent tags that may hold another of their name.
+NESTED = {"object", "template"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike",
           "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br"}
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "p", "li",
-        "dt", "dd", "tr", "td", "th", "option"}
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr",
+        "option"}
+#: Tags that an unclosed silent tag may hold beside those of running text.
+HELD = (VOID - {"hr"}) | {"param", "optgroup"}
+#: Tags whose end may be left out: the open tags that a new one ends, and the tags below which it finds them.
+ENDS = {"li": ({"li"}, {"div", "p", "address"}), "dt": ({"dt", "dd"}, {"div", "p", "address"}),
+        "dd": ({"dt", "dd"}, {"div", "p", "address"}), "tr": ({"tr"}, {"td", "th", "div", "p", "ul", "ol", "li"}),
+        "td": ({"td", "th"}, {"div", "p", "ul", "ol", "li"}), "th": ({"td", "th"}, {"div", "p", "ul", "ol", "li"})}
+#: Tags that an end tag of these does not reach beyond.
+WALLS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 BOILER_TAGS = {"nav", "footer", "aside", "form", "header", "menu", "dialog"}
 BOILER_WORDS = {"ad", "ads", "adv", "advert", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs",
                 "comment", "comments", "consent", "cookie", "cookies", "copyright", "disclaimer", "footer", "gdpr",
@@ -67,29 +82,89 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
         text.clear()
         state["links"] = 0
 
-    at, skip = 0, None
-    for m in MARKUP.finditer(html):
-        if m.start() < at:
-            continue
+    def leave(ended: set, below: set | None = None, walls: set = frozenset()):
+        """Close the innermost of the open tags ``ended``, where only tags ``below`` and no ``walls`` stand above it."""
+        for k in range(len(open_tags) - 1, -1, -1):
+            if open_tags[k][0] in ended:
+                del open_tags[k:]
+                return
+            if open_tags[k][0] in walls or below is not None and open_tags[k][0] not in below:
+                return
+
+    def closer(tag: str, start: int):
+        """The next end tag of this name; a name without one is looked for once."""
+        if tag in gone:
+            return None
+        found = re.compile(f"</{tag}(?=[\\s/>]|$)", re.I).search(html, start)
+        if not found:
+            gone.add(tag)
+        return found
+
+    gone: set[str] = set()
+    inline: Counter = Counter()
+    # The tag whose content is skipped, the tags opened in it, and whether its end is missing.
+    skip, inner, unclosed = None, [], False
+    at = 0
+    while m := MARKUP.search(html, at):
+        piece = html[at:m.start()]
+        at = m.end()
+        if skip == "head" and piece.strip():
+            skip = None
         if skip is None:
-            piece = html[at:m.start()]
             text.append(piece)
             if state["link"]:
                 state["links"] += len(unescape(piece).split())
-        at = m.end()
         if not m[2]:
             continue
         end, tag, attrs = bool(m[1]), m[2].lower(), m[3]
-        if skip is not None:
+        if skip == "head":
+            if end:
+                skip = None if tag == "head" else skip
+                continue
+            if tag in HEAD_CONTENT:
+                stop = closer(tag, at)
+                if stop:
+                    at = stop.start()
+                elif tag in ("script", "style"):
+                    at = len(html)
+                continue
+            if tag in HEAD_TAGS:
+                continue
+            skip = None
+        elif skip is not None:
+            if end and tag in inner:
+                while inner.pop() != tag:
+                    pass
+                continue
             if end and tag == skip:
                 skip = None
-            continue
+                continue
+            if end:
+                parents = tag == "a" and state["link"] or inline[tag] or any(t[0] == tag for t in open_tags)
+                if not parents:
+                    continue
+            elif unclosed and (tag == skip or tag not in INLINE and tag not in SILENT and tag not in HELD):
+                pass
+            else:
+                stop = closer(tag, at) if tag in RAW else None
+                if stop:
+                    at = stop.end()
+                elif tag not in VOID and tag not in ("br", "img", "wbr") and not attrs.rstrip().endswith("/"):
+                    inner.append(tag)
+                continue
+            skip = None
         if tag in SILENT:
             if not end and not attrs.rstrip().endswith("/"):
+                skip, inner, unclosed = tag, [], False
                 if tag in RAW:  # its content is no markup
-                    stop = re.compile(f"</{tag}", re.I).search(html, at)
-                    at = stop.start() if stop else len(html)
-                skip = tag
+                    stop = closer(tag, at)
+                    if stop or tag in ("script", "style"):
+                        at = stop.start() if stop else len(html)
+                    else:
+                        unclosed = True
+                elif tag != "head":
+                    following = re.compile(f"<(/?){tag}(?=[\\s/>]|$)", re.I).search(html, at) if closer(tag, at) else None
+                    unclosed = following is None or not following[1] and tag not in NESTED
                 if tag not in RAW and tag != "head":
                     text.append(" ")
             continue
@@ -97,28 +172,30 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
             state["link"] = 0 if end else 1
             continue
         if tag in INLINE:
+            inline[tag] = max(0, inline[tag] + (-1 if end else 1))
             if tag == "br":
                 text.append(" ")
             continue
         close()
         state["link"] = 0
-        if tag in VOID:
-            continue
         if end:
-            if any(t[0] == tag for t in open_tags):
-                while open_tags.pop()[0] != tag:
-                    pass
+            if tag not in VOID:
+                leave({tag}, walls=WALLS.get(tag, frozenset()))
             continue
-        if attrs.rstrip().endswith("/"):
+        if tag not in VOID or tag == "hr":
+            leave({"p"}, set())
+        if tag in VOID or attrs.rstrip().endswith("/"):
             continue
+        if tag in ENDS:
+            leave(*ENDS[tag])
         boiler, article = open_tags[-1][1:] if open_tags else (False, False)
         if tag in ARTICLE_TAGS:
             article = True
         own_header = tag == "header" and article
         boiler = boiler or (tag in BOILER_TAGS and not own_header) or (tag != "body" and names_boilerplate(attrs))
         open_tags.append((tag, boiler, article))
-    if skip is None and at < len(html):
-        rest = html[at:]
+    rest = html[at:]
+    if skip is None or skip == "head" and rest.strip():
         text.append(rest)
     close()
     return out
@@ -248,7 +325,9 @@ def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = N
     New columns: ``text string`` (main blocks in page order, joined by an empty
     line; empty if none) and ``n_chars long`` (its code points). One row for each
     input row, repeated rows too. A null or empty page has an empty text; a page
-    cut off inside a tag, comment or script ends there. Pages of any length are
+    cut off inside a tag, comment or script ends there. A head without end ends
+    at the first text or tag of the body, any other silent tag without end at the
+    next block or where its parent ends. Pages of any length are
     read whole. Input columns named like new ones give way.
     """
     tree = trained() if tree is None else tree
