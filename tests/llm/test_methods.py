@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from txrisk.llm import (bpe, decontaminate, html_text, jaccard_join, language_model, quality, queries, substring_dedup,
+from txrisk.llm import (bpe, decontaminate, html_text, jaccard_join, language_model, licenses, quality, queries, substring_dedup,
                         token_counts)
 from txrisk.llm.common import Words, fold_words, table
 
@@ -195,6 +195,24 @@ def test_tree_on_held_out_pages(spark):
         assert html_text.main_blocks(r.html, tree) == [x for x in want if x]
 
 
+def test_wrapped_licenses_and_notices_are_found(spark):
+    import textwrap
+    story = " ".join(f"{STORY} Part {i}." for i in range(30))
+    rows = [(i, label, story + "\n" + "\n".join(f"# {x}" for x in textwrap.wrap(t, 60)) + "\n" + story)
+            for i, (label, t) in enumerate(licenses.TEMPLATES)]
+    rows += [(100, "cc", f"{story}\nLicensed under CC BY-NC 4.0.\n"), (101, "proprietary", f"(c) A. All rights\nreserved. {story}"),
+             (102, "", story), (103, "", ""), (104, "", None), (105, "", "cc by mail; the rights of all are reserved here")]
+    docs = spark.createDataFrame(rows, "doc_id long, want string, text string")
+    for r in licenses.scan(docs, passages=True).collect():
+        assert set(r.want.split(",")) <= set(r.labels.split(",")) and (r.want != "" or r.labels == "" and r.score == 0), r.doc_id
+    # Whatever a line meets, a passage meets.
+    own = table(spark, SF001, "documents").select("doc_id", "text")
+    lines = {r.doc_id: r for r in licenses.scan(own, keep=["doc_id"]).collect()}
+    for r in licenses.scan(own, keep=["doc_id"], passages=True).collect():
+        assert set(lines[r.doc_id].labels.split(",")) - {""} <= set(r.labels.split(","))
+        assert (r.base_labels, r.n_base) == (lines[r.doc_id].base_labels, lines[r.doc_id].n_base)
+
+
 STORY = "The river rose during the night and the people of the lower town carried what they could to the hill."
 
 

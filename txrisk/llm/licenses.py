@@ -11,7 +11,10 @@ length filter drops blocks with fewer than ``need`` template tokens, the
 positional filter those whose tokens after the meeting place are too few; what
 is left is counted exactly.
 
-Scale: only lines holding a template-prefix token leave the scan. The template
+With ``passages`` blocks are windows of consecutive words in place of lines, so
+that a license text wrapped over lines is met, and one-line notices count too.
+
+Scale: only blocks holding a template-prefix token leave the scan. The template
 side of the join is a fixed table of a few dozen rows. Document results are
 put together by row, never by label or license.
 """
@@ -19,6 +22,7 @@ put together by row, never by label or license.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +55,15 @@ TEMPLATES = [
 ]
 THRESHOLD = 0.8
 
+# One-line notices as patterns over words side by side, and their labels.
+NOTICES = {
+    " all rights reserved ": "proprietary",
+    " cc by(?: nc| sa| nd)*(?: nc| sa| nd| [1-4]) ": "cc",
+    " (?:under|license|licence) cc (?:by|0) ": "cc",
+    " cc0(?: 1)? ": "cc",
+    " creative commons (?:attribution|zero|license|licence) ": "cc",
+}
+
 
 #: What stands between words; splitting is far cheaper than extracting each match.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -92,8 +105,24 @@ def prefix_table(rows: list, order: list[str], threshold: float) -> list[tuple]:
     return out
 
 
+def span_of(template: str) -> int:
+    """The least power of two that is not below the template's words."""
+    return 1 << (len(re.findall(WORD_PATTERN, template.lower())) - 1).bit_length()
+
+
+def windows(words: F.Column, spans: list[int], vocab: F.Column) -> F.Column:
+    """Windows of twice each span from every span-th word on: any passage of a span's words lies in one."""
+    def of(k: int) -> F.Column:
+        first = F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)), F.lit(k))
+        return F.transform(first, lambda i: F.struct(
+            i.alias("line"), F.array_intersect(vocab, F.slice(words, i + 1, F.lit(2 * k))).alias("held"),
+            F.lit(k).alias("span")))
+    return F.flatten(F.array(*map(of, spans)))
+
+
 def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None,
-         templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+         templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD,
+         passages: bool = False) -> DataFrame:
     """Columns ``keep`` (default: all) of each document with the licenses found.
 
     New columns: n_words, n_base (places of all phrases), first_word and
@@ -103,6 +132,10 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None,
     template in a line that meets the threshold, else 0), and blocks
     array<struct<line:int,label:string,score:double>>, the lines that meet it.
 
+    With ``passages``, blocks are windows of up to four times a template's words,
+    across lines, and ``line`` is a window's first word; labels also has those of
+    ``NOTICES``, and score is 1 with one.
+
     A null or empty text has no words and no labels. One row for each input row,
     repeated rows too; lines of any length are read whole. Input columns named
     like new ones give way.
@@ -116,25 +149,36 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None,
     src = src.withColumn("low", F.lower("text"))
     rows = template_tokens(spark, TEMPLATES if templates is None else templates).collect()
     order = token_order(src, sorted({r[2] for r in rows}))
-    prefixes = prefix_table([tuple(r) for r in rows], order, threshold)
+    spans = [span_of(x) if passages else 0 for _, x in (TEMPLATES if templates is None else templates)]
+    prefixes = [(*p, k) for k in sorted(set(spans))
+                for p in prefix_table([tuple(r) for r in rows if spans[r[0]] == k], order, threshold)]
 
     out = with_phrases(src.withColumn("words", words_of(F.col("low"))))
     rare = F.array(*map(F.lit, sorted({p[0] for p in prefixes}))).cast("array<string>")
     vocab = F.array(*map(F.lit, order)).cast("array<string>")
     # The result of an intersection follows the first array: corpus order.
-    lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(
-        i.alias("line"), F.array_intersect(vocab, words_of(folded(x))).alias("held")))
+    if passages:
+        whole = words_of(folded(F.col("text")))
+        lines = windows(whole, sorted(set(spans)), vocab) if spans else F.array().cast(
+            "array<struct<line:int,held:array<string>,span:int>>")
+        side = F.concat(F.lit(" "), F.array_join(whole, " "), F.lit(" "))
+        out = out.withColumn("notices", F.array_compact(F.array(
+            *[F.when(F.rlike(side, F.lit(pattern)), F.lit(x)) for pattern, x in NOTICES.items()])))
+    else:
+        lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(
+            i.alias("line"), F.array_intersect(vocab, words_of(folded(x))).alias("held"), F.lit(0).alias("span")))
+        out = out.withColumn("notices", F.array().cast("array<string>"))
     lines = F.filter(lines, lambda x: F.arrays_overlap(x["held"], rare))
     out = out.withColumn("lines", F.when(F.arrays_overlap("words", rare), lines))
     base = stored(out.drop("text", "low", "words", "joined").withColumn("rid", F.monotonically_increasing_id()), "licenses")
 
     sides = spark.createDataFrame(
-        prefixes, "token string, label string, i int, size int, need int, tokens array<string>")
+        prefixes, "token string, label string, i int, size int, need int, tokens array<string>, span int")
     held = base.select("rid", F.explode("lines").alias("x")).select(
-        "rid", "x.line", "x.held", F.posexplode("x.held").alias("j", "token"))
+        "rid", "x.line", "x.span", "x.held", F.posexplode("x.held").alias("j", "token"))
     n = F.size("held")
     common = F.array_intersect("held", "tokens")
-    met = held.join(sides, "token") \
+    met = held.join(sides, ["token", "span"]) \
         .where(n >= F.col("need")) \
         .where(F.col("j") <= n - F.col("need")) \
         .where(F.least(F.col("size") - F.col("i"), n - F.col("j")) >= F.col("need")) \
@@ -146,9 +190,9 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None,
     out = base.join(blocks, "rid", "left").withColumn(
         "blocks", F.coalesce("blocks", F.array().cast("array<struct<line:int,label:string,score:double>>")))
     best = F.aggregate("blocks", F.lit(0.0), lambda a, b: F.greatest(a, b["score"]))
-    labels = F.array_sort(F.array_distinct(F.concat("base_list", F.transform("blocks", lambda b: b["label"]))))
+    labels = F.array_sort(F.array_distinct(F.concat("base_list", "notices", F.transform("blocks", lambda b: b["label"]))))
     new = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks"]
-    return out.withColumn("score", F.when(F.col("n_base") > 0, 1.0).otherwise(best)) \
+    return out.withColumn("score", F.when((F.col("n_base") > 0) | (F.size("notices") > 0), 1.0).otherwise(best)) \
         .withColumn("labels", F.array_join(labels, ",")) \
         .withColumn("base_labels", F.array_join("base_list", ",")) \
         .select(*beside("doc", keep, new))

@@ -22,6 +22,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs, keep=["doc_id"]).drop("blocks")
 
 
+def op2_license_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, keep=["doc_id"], passages=True).drop("blocks")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("piece_bpe_32k.model")
@@ -63,7 +68,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_license_scan, op3_token_counts, op4_html_text, op5_language_model, op6_jaccard_join, op7_bpe,
+    return {f.__name__: f for f in (op1_decontamination, op2_license_scan, op2_license_passages, op3_token_counts, op4_html_text, op5_language_model, op6_jaccard_join, op7_bpe,
                                    op8_chat_perspectives, op9_quality_rules, op10_substring_dedup)}
 
 
