@@ -1,11 +1,11 @@
-"""N-gram Jaccard join by a MinHash LSH forest (operator 6).
+"""N-gram Jaccard join by MinHash banding (operator 6).
 
 Texts are sets of word shingles. Rows with the same set are one class; classes
-are joined. Each of ``TREES`` tries holds, for every class, a label of MinHash
-values; two classes meet where their labels share a prefix. Prefixes start at
-``LONGEST`` values and are shortened until two sets of threshold similarity
-meet in some trie with the target recall. Sorting a trie by prefix makes each
-node a run of neighbouring rows; the pairs of a node are verified exactly on
+are joined. Each of ``TREES`` tries holds, for every class, one key of MinHash
+values; two classes meet where they share a key. Its length is fixed before the
+data are read: the longest of at most ``LONGEST`` values with which two sets of
+threshold similarity meet in some trie with the target recall (4 here). Classes
+with one key make a node; the pairs of a node are verified exactly on
 their shingles.
 
 Scale: a class meets others through small (prefix, row) records; texts move
