@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, conversation_repair, decontaminate, html_text, jaccard_join, language_model, licenses, merkle, quality, substring_dedup, token_counts
+from . import bpe, chat, conversation_repair, decontaminate, html_text, jaccard_join, language_model, licenses, merkle, quality, rule_ensemble, substring_dedup, token_counts
 from .common import table
 
 
@@ -75,9 +75,14 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.reports(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op13_rule_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rule_ensemble.classified(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_decontamination, op2_license_scan, op2_license_passages, op3_token_counts, op4_html_text, op5_language_model, op6_jaccard_join, op7_bpe,
-                                   op8_chat_perspectives, op9_quality_rules, op10_substring_dedup, op11_merkle_manifest, op12_conversation_repair)}
+                                   op8_chat_perspectives, op9_quality_rules, op10_substring_dedup, op11_merkle_manifest, op12_conversation_repair, op13_rule_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
