@@ -131,8 +131,8 @@ def decode(rows):
 
 
 def all_repairs(rows):
-    """The least (cost, initials) over every sequence of edits."""
-    steps = [[("D", "", 4)] + ([] if must_go else [("K", role[:1], 3 * cut), ("R", "u", 3 + 3 * cut), ("R", "a", 3 + 3 * cut)])
+    """The least (cost, initials) over every sequence of edits; an empty role has an initial that fits nowhere."""
+    steps = [[("D", "", 4)] + ([] if must_go else [("K", role[:1] or "?", 3 * cut), ("R", "u", 3 + 3 * cut), ("R", "a", 3 + 3 * cut)])
              for role, _, must_go, cut in rows]
     gaps = [("", ""), ("I", "u"), ("I", "a"), ("II", "ua"), ("II", "au")]
     best = None
