@@ -16,11 +16,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.hashing import md5_key60
 from ..functions.stats import t_p_value
+from ..session import written
 from .ids import sequential_ids
 from .metrics import roc_auc
 
 REPLICATES = 100
 ALPHA = 0.05
+#: Scored rows that are broadcast at most: about 40 bytes each.
+BROADCAST_ROWS = 500_000
 
 
 def index_rows(scores: DataFrame, model_col: str = "model", row_col: str = "row_id") -> DataFrame:
@@ -34,9 +37,9 @@ def index_rows(scores: DataFrame, model_col: str = "model", row_col: str = "row_
 
 def bootstrap_auc(scores: DataFrame, replicates: int = REPLICATES, seed: int = 42,
                   model_col: str = "model", row_col: str = "row_id", label_col: str = "label",
-                  score_col: str = "score") -> DataFrame:
+                  score_col: str = "score", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(model, replicate, roc_auc, n_pos, n_neg) for every replicate."""
-    rows = index_rows(scores, model_col, row_col)
+    rows = written(index_rows(scores, model_col, row_col), "indexed")
     n = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reps = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate")
     # The slot table is small before the x replicates expansion, and AQE may have
@@ -46,11 +49,14 @@ def bootstrap_auc(scores: DataFrame, replicates: int = REPLICATES, seed: int = 4
     draws = slots.select(model_col, "replicate",
                          (md5_key60(F.lit(str(seed)), model_col, "replicate", "_i") % F.col("_n")).alias("_j"))
     # A row drawn twice is met twice by the join, so draws need no counting by row
-    # before their scores are known. The rows are ``replicates`` times fewer than
-    # the draws: partitions that fit the draws hold a small hash table of rows,
-    # and the draws are not sorted.
-    drawn = rows.select(model_col, F.col("_i").alias("_j"), label_col, score_col).hint("shuffle_hash")
-    picked = draws.repartition(n, model_col, "_j").join(drawn, [model_col, "_j"])
+    # before their scores are known. Up to ``broadcast_rows`` rows, which is
+    # measured, the draws stay where they are made and only counts by score are
+    # shuffled; beyond, draws and rows meet by a shuffle that can spill.
+    drawn = rows.select(model_col, F.col("_i").alias("_j"), label_col, score_col)
+    if rows.count() <= broadcast_rows:
+        picked = draws.join(F.broadcast(drawn), [model_col, "_j"])
+    else:
+        picked = draws.repartition(n, model_col, "_j").join(drawn, [model_col, "_j"])
     return roc_auc(picked, label_col, score_col, group_cols=[model_col, "replicate"],
                    cuts_from=rows.select(score_col), materialize=True)
 

@@ -4,9 +4,9 @@
 is range-partitioned and sorted (``orderBy``), each row gets its position
 inside its partition, and a table of per-partition row counts - one row per
 partition, so its size is bounded by the partition count - turns positions
-into global ids. The sorted table is checkpointed to the shared checkpoint
-folder first, so both passes see identical partitions and a lost executor
-does not re-randomise them.
+into global ids. The sorted table is written to the shared scratch folder first,
+so both passes see identical partitions and a lost executor does not
+re-randomise them.
 """
 
 from __future__ import annotations
@@ -15,13 +15,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schema as S
 from ..functions import calendar as cal
-from ..session import ensure_checkpoint_dir
+from ..session import written
 
 
 def sequential_ids(df: DataFrame, order_cols: list[str], id_col: str = "SEQ_ID",
                    start: int = 0, checkpoint: bool = True) -> DataFrame:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     # Range partitions in order, sorted inside: the global order. An explicit
     # partition count keeps AQE from folding the ranges into a few tasks.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -29,7 +28,7 @@ def sequential_ids(df: DataFrame, order_cols: list[str], id_col: str = "SEQ_ID",
                .withColumn("_pid", F.spark_partition_id())
                .withColumn("_mid", F.monotonically_increasing_id()))
     if checkpoint:
-        ordered = ordered.checkpoint(eager=True)
+        ordered = written(ordered, "ordered")
     # monotonically_increasing_id = partition index << 33 | position in partition
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     ordered = ordered.withColumn("_pos", local)

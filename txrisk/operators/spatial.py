@@ -1,44 +1,139 @@
 """Radius join of customers and terminals.
 
 Pairs with Euclidean distance strictly below r. Instead of a theta join (which
-Spark can only run as a nested loop), both sides get a grid cell of side r;
-the terminal side is copied to its 9 neighbouring cells and the two sides are
-equi-joined on the cell, then filtered by the exact distance. Work is
-proportional to the candidate pairs of neighbouring cells, not |C| x |T|.
+Spark can only run as a nested loop), points lie in the cells of a grid of side
+r, targets are copied to the cells that they reach, and the two sides are
+equi-joined on the cell, then filtered by the exact distance.
+
+The grid adapts to measured counts. A cell with more than its share of the points
+(all points / shuffle partitions) is split into four, and so are its heavy
+children, down to ``DEEPEST`` levels; a target goes on to the children that it
+reaches. What space cannot split - many points at one place, many targets that
+reach one cell - is dealt in chunks: points by chunk a, copied to every chunk b
+of the targets, and the other way round, so a cell that holds a third of all
+points is many (cell, a, b) tasks. Without heavy cells none of this is in the
+plan. The tables of heavy cells have at most one row for each shuffle partition
+and level.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+DEEPEST = 12
+#: Fewer rows than this in a cell are never worth a task of their own.
+LEAST = 10_000
+CELL = ["_d", "_cx", "_cy"]
+#: Slack of the reach test in units of r: it may only keep too many; the exact distance decides.
+SLACK = 1e-9
+
+
+def _placed(df: DataFrame, key: str, x: str, y: str, r: float, side: str) -> DataFrame:
+    """Key, coordinates and coordinates in units of r; rows without a finite place have no pairs."""
+    found = df.select(F.col(key), F.col(x).cast("double").alias(f"_{side}x"), F.col(y).cast("double").alias(f"_{side}y"))
+    finite = (F.abs(f"_{side}x") < F.lit(float("inf"))) & (F.abs(f"_{side}y") < F.lit(float("inf")))
+    return found.where(finite).withColumns({"_qx": F.col(f"_{side}x") / F.lit(float(r)), "_qy": F.col(f"_{side}y") / F.lit(float(r))})
+
+
+def _cell(q: str, depth) -> Column:
+    # Doubling is exact, so a child's cell halves to its parent's.
+    return F.floor(F.col(q) * F.pow(F.lit(2.0), depth)).cast("long")
+
+
+def _share(n: int, partitions: int, least: int) -> int:
+    return max(least, math.ceil(n / partitions))
+
 
+def _heavy(df: DataFrame, cell: list[str], share: int, new: str) -> DataFrame | None:
+    """Cells with more than ``share`` rows and their chunks, to be broadcast: fewer than rows / share."""
+    counts = df.groupBy(*cell).count().where(F.col("count") > share)
+    rows = counts.select(*cell, F.ceil(F.col("count") / share).cast("int").alias(new)).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in cell)
+                                                       + f", {new} int")) if rows else None
 
-def _cell(c: Column, r: float) -> Column:
-    return F.floor(c / F.lit(float(r))).cast("long")
+
+def _split_points(p: DataFrame, share: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Points with the leaf of the quadtree that they lie in, and its heavy cells by level."""
+    p = p.withColumns({"_d": F.lit(0), "_cx": _cell("_qx", F.lit(0)), "_cy": _cell("_qy", F.lit(0))})
+    levels = []
+    for d in range(DEEPEST):
+        found = _heavy(p.where(F.col("_d") == d), CELL, share, "_heavy")
+        if found is None:
+            break
+        levels.append(found)
+        deeper = F.col("_heavy").isNotNull()
+        p = p.join(found, CELL, "left").withColumn("_to", F.when(deeper, F.lit(d + 1)).otherwise(F.col("_d"))) \
+            .withColumns({"_d": F.col("_to"), "_cx": _cell("_qx", F.col("_to")), "_cy": _cell("_qy", F.col("_to"))}) \
+            .drop("_heavy", "_to")
+    return p, levels
+
+
+def _reached(t: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """Targets once for each leaf of the quadtree that has a place nearer than r."""
+    def near():
+        side = F.pow(F.lit(2.0), -F.col("_d"))
+        gap = lambda q, c: F.greatest(F.col(c) * side - F.col(q), F.col(q) - (F.col(c) + 1) * side, F.lit(0.0))
+        return F.pow(gap("_qx", "_cx"), 2) + F.pow(gap("_qy", "_cy"), 2) < 1 + SLACK
+
+    own = {"x": _cell("_qx", F.lit(0)), "y": _cell("_qy", F.lit(0))}
+    around = F.array(*[F.struct((own["x"] + dx).alias("x"), (own["y"] + dy).alias("y")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    t = t.withColumn("_c", F.explode(around)).withColumns({"_d": F.lit(0), "_cx": F.col("_c.x"), "_cy": F.col("_c.y")}) \
+        .drop("_c").where(near())
+    for found in levels:
+        child = lambda i, j: F.struct((F.col("_d") + 1).alias("d"), (F.col("_cx") * 2 + i).alias("x"),
+                                      (F.col("_cy") * 2 + j).alias("y"))
+        children = F.array(*[child(i, j) for i in (0, 1) for j in (0, 1)])
+        self_ = F.array(F.struct(F.col("_d").alias("d"), F.col("_cx").alias("x"), F.col("_cy").alias("y")))
+        t = t.join(found, CELL, "left").withColumn("_c", F.explode(F.when(F.col("_heavy").isNotNull(), children).otherwise(self_))) \
+            .withColumns({"_d": F.col("_c.d"), "_cx": F.col("_c.x"), "_cy": F.col("_c.y")}).drop("_c", "_heavy").where(near())
+    return t
+
+
+def _chunked(df: DataFrame, key: str, own: str, others: str, chunks: dict[str, DataFrame | None]) -> DataFrame:
+    """Rows with their chunk ``own``, copied to every chunk of the other side in their cell."""
+    for c in (own, others):
+        df = df.withColumn(f"{c}n", F.lit(1)) if chunks[c] is None else \
+            df.join(chunks[c], CELL, "left").withColumn(f"{c}n", F.coalesce(f"{c}n", F.lit(1)))
+    return df.withColumns({own: F.pmod(F.xxhash64(key), F.col(f"{own}n")).cast("int"),
+                           others: F.explode(F.sequence(F.lit(0), F.col(f"{others}n") - 1))}).drop(f"{own}n", f"{others}n")
 
 
 def within_radius(points: DataFrame, targets: DataFrame, r: float,
-                  pkey: str, px: str, py: str, tkey: str, tx: str, ty: str) -> DataFrame:
-    """(pkey, tkey, distance) for every pair closer than r."""
-    p = points.select(F.col(pkey), F.col(px).alias("_px"), F.col(py).alias("_py"),
-                      _cell(F.col(px), r).alias("_cx"), _cell(F.col(py), r).alias("_cy"))
-    shifts = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in NEIGHBOURS])
-    t = (targets.select(F.col(tkey), F.col(tx).alias("_tx"), F.col(ty).alias("_ty"),
-                        _cell(F.col(tx), r).alias("_tcx"), _cell(F.col(ty), r).alias("_tcy"))
-         .select("*", F.explode(shifts).alias("_s"))
-         .select(tkey, "_tx", "_ty", (F.col("_tcx") + F.col("_s.dx")).alias("_cx"),
-                 (F.col("_tcy") + F.col("_s.dy")).alias("_cy")))
+                  pkey: str, px: str, py: str, tkey: str, tx: str, ty: str, least: int = LEAST) -> DataFrame:
+    """(pkey, tkey, distance) for every pair closer than r.
+
+    Repeated keys are points of their own; rows without a finite place have no
+    pairs. ``least``: cells with fewer rows stay whole.
+    """
+    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    p = _placed(points, pkey, px, py, r, "p")
+    share = _share(p.count(), n, least)
+    p, levels = _split_points(p, share)
+    t = _reached(_placed(targets, tkey, tx, ty, r, "t"), levels)
+    chunks = {"_a": _heavy(p, CELL, share, "_an") if len(levels) == DEEPEST else None,
+              "_b": _heavy(t, CELL, _share(t.count(), n, least), "_bn")}
+    keys = CELL
+    if any(c is not None for c in chunks.values()):
+        keys = [*CELL, "_a", "_b"]
+        p, t = _chunked(p, pkey, "_a", "_b", chunks), _chunked(t, tkey, "_b", "_a", chunks)
     dist = F.sqrt(F.pow(F.col("_px") - F.col("_tx"), 2) + F.pow(F.col("_py") - F.col("_ty"), 2))
-    return (p.join(t, ["_cx", "_cy"])
+    return (p.select(pkey, "_px", "_py", *keys).join(t.select(tkey, "_tx", "_ty", *keys), keys)
             .select(pkey, tkey, dist.alias("distance"))
             .where(F.col("distance") < F.lit(float(r))))
 
 
 def terminal_lists(points: DataFrame, pairs: DataFrame, pkey: str, tkey: str,
-                   list_col: str = "available_terminals", count_col: str = "nb_terminals") -> DataFrame:
-    """Sorted list of terminals per customer and its length; customers with none get []."""
-    lists = pairs.groupBy(pkey).agg(F.sort_array(F.collect_list(tkey)).alias(list_col))
+                   list_col: str = "available_terminals", count_col: str = "nb_terminals", chunk_bits: int = 16) -> DataFrame:
+    """Sorted list of terminals per customer and its length; customers with none get [].
+
+    Lists are built by ranges of 2**chunk_bits terminal ids first and joined end
+    to end, so no sort takes a whole list.
+    """
+    parts = pairs.groupBy(pkey, F.shiftright(F.col(tkey), chunk_bits).alias("_range")).agg(F.sort_array(F.collect_list(tkey)).alias("_part"))
+    lists = parts.groupBy(pkey).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_range", "_part"))),
+                                                          lambda x: x["_part"])).alias(list_col))
     out = points.select(pkey).join(lists, pkey, "left")
     out = out.withColumn(list_col, F.coalesce(F.col(list_col), F.array().cast(lists.schema[list_col].dataType)))
     return out.withColumn(count_col, F.size(list_col))

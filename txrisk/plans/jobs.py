@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema as S
 from ..operators import features as feat
+from ..session import scratch_scope, written
 from ..sources import sinks
 
 
@@ -15,8 +16,8 @@ def nightly_features(spark: SparkSession, raw_path: str, processed_path: str, lo
     features, write the processed table one folder per day (dynamic overwrite:
     a re-run replaces the same days)."""
     raw = sinks.read_lookback(spark, raw_path, lookback_days)
-    processed = feat.feature_table(raw, lookback_days=None, bounds=bounds)
-    sinks.write_daily(processed, processed_path)
+    with scratch_scope(spark):
+        sinks.write_daily(feat.feature_table(raw, lookback_days=None, bounds=bounds), processed_path)
 
 
 def read_processed(spark: SparkSession, processed_path: str) -> DataFrame:
@@ -43,8 +44,7 @@ def train_and_validate(spark: SparkSession, processed: DataFrame, runs_path: str
     from ..operators import model as md
     from ..operators import split as sp
 
-    start = sp.training_start(processed, days_back)
-    train, val = sp.train_val_split(processed, start, delta_train, delta_delay, delta_val)
+    train, val = sp.anchored_split(processed, days_back, delta_train, delta_delay, delta_val)
     search = md.random_search(train, val, space=space or md.PARAM_SPACE, n_iter=n_iter or md.N_ITER, seed=seed)
     best = md.best_params(search, space or md.PARAM_SPACE)
     model = md.fit(train, best, seed=seed)
@@ -55,7 +55,7 @@ def train_and_validate(spark: SparkSession, processed: DataFrame, runs_path: str
     pred = md.predict(model, val).select(S.TX_ID, F.col(S.TX_FRAUD).cast("int").alias("label"),
                                          F.col("probability_1").alias("score"),
                                          F.col("prediction").cast("int").alias("prediction"))
-    pred = pred.checkpoint(eager=True)
+    pred = written(pred, "predictions")
     auc_row = mt.roc_auc(pred).select("roc_auc").first()
     auc = auc_row[0] if auc_row is not None else None
     pr = mt.precision_recall(pred).first()

@@ -25,8 +25,7 @@ SPLIT_COLS = [S.TX_ID, S.TX_DATETIME, S.CUSTOMER_ID, S.TX_TIME_DAYS, S.TX_FRAUD]
 
 def _split(spark, sf_dir):
     tx = src.transactions(spark, sf_dir)
-    start = sp.training_start(tx, START_BACK)
-    return sp.train_val_split(tx, start, T_DAYS, L_DAYS, V_DAYS)
+    return sp.anchored_split(tx, START_BACK, T_DAYS, L_DAYS, V_DAYS)
 
 
 def split_ctes(rows: str) -> str:
@@ -97,8 +96,8 @@ def day_bounds(spark, sf_dir):
 
 # ---- serving snapshots -------------------------------------------------------
 
-def _processed(spark, sf_dir):
-    return feat.feature_table(src.transactions(spark, sf_dir), lookback_days=90)
+def _history(spark, sf_dir):
+    return feat.lookback(src.transactions(spark, sf_dir), 90)
 
 
 def _rounded(cols):
@@ -122,21 +121,21 @@ snap_{key} AS (SELECT {key}, {sel} FROM ranked_{key} WHERE rn = 1)"""
 @query("latest_customer_features",
        "WITH" + _snapshot_sql(S.CUSTOMER_ID, S.CUSTOMER_FEATURES, "latest_day") + " SELECT * FROM snap_CUSTOMER_ID")
 def latest_customer_features(spark, sf_dir):
-    s = snap.customer_snapshot(_processed(spark, sf_dir))
+    s = snap.customer_features_as_of(_history(spark, sf_dir))
     return s.select(S.CUSTOMER_ID, *_rounded(S.CUSTOMER_FEATURES))
 
 
 @query("latest_terminal_features",
        "WITH" + _snapshot_sql(S.TERMINAL_ID, S.TERMINAL_FEATURES, "latest_day") + " SELECT * FROM snap_TERMINAL_ID")
 def latest_terminal_features(spark, sf_dir):
-    s = snap.terminal_snapshot(_processed(spark, sf_dir))
+    s = snap.terminal_features_as_of(_history(spark, sf_dir))
     return s.select(S.TERMINAL_ID, *_rounded(S.TERMINAL_FEATURES))
 
 
 @query("latest_customer_features_all",
        "WITH" + _snapshot_sql(S.CUSTOMER_ID, S.CUSTOMER_FEATURES, "all") + " SELECT * FROM snap_CUSTOMER_ID")
 def latest_customer_features_all(spark, sf_dir):
-    s = snap.customer_snapshot(_processed(spark, sf_dir), scope="all")
+    s = snap.customer_features_as_of(_history(spark, sf_dir), scope="all")
     return s.select(S.CUSTOMER_ID, *_rounded(S.CUSTOMER_FEATURES))
 
 
@@ -160,8 +159,9 @@ SELECT r.TRANSACTION_ID, r.CUSTOMER_ID, r.TERMINAL_ID, r.TX_AMOUNT, 0 AS TX_FRAU
 FROM tx r JOIN snap_CUSTOMER_ID c ON r.CUSTOMER_ID = c.CUSTOMER_ID
           JOIN snap_TERMINAL_ID t ON r.TERMINAL_ID = t.TERMINAL_ID""")
 def enriched_requests(spark, sf_dir):
-    processed = _processed(spark, sf_dir)
-    out = snap.enrich(_requests(spark, sf_dir), snap.customer_snapshot(processed), snap.terminal_snapshot(processed))
+    history = _history(spark, sf_dir)
+    out = snap.enrich(_requests(spark, sf_dir), snap.customer_features_as_of(history),
+                      snap.terminal_features_as_of(history))
     return out.select(*_rounded(ENRICH_COLS))
 
 
@@ -173,6 +173,7 @@ FROM tx r LEFT JOIN snap_CUSTOMER_ID c ON r.CUSTOMER_ID = c.CUSTOMER_ID
           LEFT JOIN snap_TERMINAL_ID t ON r.TERMINAL_ID = t.TERMINAL_ID
 WHERE c.CUSTOMER_ID IS NULL OR t.TERMINAL_ID IS NULL""")
 def rejected_requests(spark, sf_dir):
-    processed = _processed(spark, sf_dir)
-    out = snap.rejected(_requests(spark, sf_dir), snap.customer_snapshot(processed), snap.terminal_snapshot(processed))
+    history = _history(spark, sf_dir)
+    out = snap.rejected(_requests(spark, sf_dir), snap.customer_features_as_of(history),
+                      snap.terminal_features_as_of(history))
     return out.select(S.TX_ID, S.CUSTOMER_ID, S.TERMINAL_ID, "reason")

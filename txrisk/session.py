@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every plan in this package relies on. UTC makes timestamp <-> date
 # arithmetic identical on every executor; AQE re-plans joins from runtime sizes
@@ -71,3 +73,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+_scopes: list[list[str]] = []
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back.
+
+    What reads it does not run the plan behind it again, also where an executor
+    is lost. The folder goes when the ``scratch_scope`` around the call ends, else
+    with the application.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    if _scopes:
+        _scopes[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the tables written inside at the end: for jobs that write their result before they return."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
