@@ -20,3 +20,61 @@ def test_grid_matches_brute_force_and_no_nested_loop(spark):
     c, t = cust.collect(), term.collect()
     want = sorted((a.cid, b.tid) for a in c for b in t if ((a.cx - b.tx) ** 2 + (a.cy - b.ty) ** 2) ** 0.5 < 5.0)
     assert sorted((r.cid, r.tid) for r in pairs.collect()) == want
+
+
+def _pairs(spark, c, t, r=5.0, least=20):
+    cust = spark.createDataFrame(c, "cid long, cx double, cy double")
+    term = spark.createDataFrame(t, "tid long, tx double, ty double")
+    return sp.within_radius(cust, term, r, "cid", "cx", "cy", "tid", "tx", "ty", least=least)
+
+
+def _brute(c, t, r=5.0):
+    return sorted((i, j) for i, x, y in c for j, u, v in t if ((x - u) ** 2 + (y - v) ** 2) ** 0.5 < r)
+
+
+def _largest_share(pairs):
+    """The largest share of the joined rows that one value of the join keys holds."""
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    return "_a" in plan, plan
+
+
+def test_a_dense_cell_is_split(spark):
+    """A third of all points in a hundredth of a cell, and the rest wide apart."""
+    import random
+    rnd = random.Random(4)
+    c = [(i, *((rnd.uniform(52.0, 52.5), rnd.uniform(47.0, 47.5)) if i % 3 == 0 else (rnd.uniform(-100, 100), rnd.uniform(-100, 100))))
+         for i in range(900)]
+    t = [(i, *((rnd.uniform(50.0, 58.0), rnd.uniform(44.0, 52.0)) if i % 2 else (rnd.uniform(-100, 100), rnd.uniform(-100, 100))))
+         for i in range(200)]
+    assert sorted((r.cid, r.tid) for r in _pairs(spark, c, t).collect()) == _brute(c, t)
+    p = sp._placed(spark.createDataFrame(c, "cid long, cx double, cy double"), "cid", "cx", "cy", 5.0, "p")
+    leaves, levels = sp._split_points(p, 40)
+    assert len(levels) >= 3
+    assert max(r["count"] for r in leaves.groupBy(*sp.CELL).count().collect()) <= 40
+
+
+def test_points_at_one_place_and_targets_around_one_cell_are_dealt_in_chunks(spark):
+    c = [(i, 1.0, 1.0) for i in range(150)] + [(1000, 40.0, 40.0)]
+    t = [(i, 1.0 + i / 100, 1.0) for i in range(300)] + [(1000, float("nan"), 1.0), (1001, float("inf"), 0.0)]
+    pairs = _pairs(spark, c, t)
+    assert sorted((r.cid, r.tid) for r in pairs.collect()) == _brute(c, t[:300])
+    chunked, plan = _largest_share(pairs)
+    assert chunked and "NestedLoop" not in plan
+
+
+def test_boundaries_of_split_cells(spark):
+    """Points and targets on a fine lattice whose distances meet the radius and the cells' edges."""
+    c = [(k, (k % 20) * 0.25, (k // 20) * 0.25) for k in range(400)]
+    t = [(k, (k % 15) * 0.5 - 1.0, (k // 15) * 0.5 - 1.0) for k in range(225)]
+    assert sorted((r.cid, r.tid) for r in _pairs(spark, c, t, r=1.25, least=10).collect()) == _brute(c, t, 1.25)
+
+
+def test_empty_sides(spark):
+    assert _pairs(spark, [], [(1, 0.0, 0.0)]).collect() == [] and _pairs(spark, [(1, 0.0, 0.0)], []).collect() == []
+
+
+def test_lists_in_ranges_are_sorted(spark):
+    pairs = spark.createDataFrame([(1, j) for j in (5, 70_000, 3, 200_000, 65_536)] + [(2, -4), (2, 9)], "cid long, tid long")
+    cust = spark.createDataFrame([(1,), (2,), (3,)], "cid long")
+    got = {r.cid: (r.available_terminals, r.nb_terminals) for r in sp.terminal_lists(cust, pairs, "cid", "tid").collect()}
+    assert got == {1: ([3, 5, 65_536, 70_000, 200_000], 5), 2: ([-4, 9], 2), 3: ([], 0)}

@@ -184,16 +184,35 @@ def replace_and_fill(spark, sf_dir):
     return feat.fill_numeric_nulls(src.replace_minus_one(rows))
 
 
-@query("feature_table_hot_keys", _feature_sql(90))
+#: Fixed values of the hot-key series: one terminal and one customer take a third of all rows each.
+HOT_TERMINAL, HOT_CUSTOMER = 7, 5
+
+
+def _hot(df, id_col=S.TX_ID):
+    out = df.withColumn(S.CUSTOMER_ID, F.when(F.col(id_col) % 3 == 1, F.lit(HOT_CUSTOMER)).otherwise(F.col(S.CUSTOMER_ID)))
+    if S.TERMINAL_ID in df.columns:
+        out = out.withColumn(S.TERMINAL_ID, F.when(F.col(id_col) % 3 == 0, F.lit(HOT_TERMINAL)).otherwise(F.col(S.TERMINAL_ID)))
+    return out
+
+
+_HOT_CUSTOMER_SQL = f"CASE WHEN TRANSACTION_ID % 3 = 1 THEN {HOT_CUSTOMER} ELSE CUSTOMER_ID END AS CUSTOMER_ID"
+HOT_TX = Q.TX.replace("tx AS", "even_tx AS", 1) + f""",
+tx AS (SELECT * REPLACE ({_HOT_CUSTOMER_SQL},
+       CASE WHEN TRANSACTION_ID % 3 = 0 THEN {HOT_TERMINAL} ELSE TERMINAL_ID END AS TERMINAL_ID) FROM even_tx)"""
+HOT_ORDERS = Q.ORDERS_TX.replace("otx AS", "even_otx AS", 1) + f""",
+otx AS (SELECT * REPLACE ({_HOT_CUSTOMER_SQL}) FROM even_otx)"""
+
+
+@query("feature_table_hot_keys", _feature_sql(90).replace(Q.TX, HOT_TX, 1))
 def feature_table_hot_keys(spark, sf_dir):
-    """The nightly table; one form serves hot keys and others."""
-    return rounded_features(feat.feature_table(src.transactions(spark, sf_dir), lookback_days=90))
+    """The nightly table where one terminal and one customer hold a third of all rows each."""
+    return rounded_features(feat.feature_table(_hot(src.transactions(spark, sf_dir)), lookback_days=90))
 
 
-@query("customer_spending_orders_half_open_hot_keys", _spending_sql(Q.ORDERS_TX, "otx", Q.spending_half_open))
+@query("customer_spending_orders_half_open_hot_keys", _spending_sql(HOT_ORDERS, "otx", Q.spending_half_open))
 def customer_spending_orders_half_open_hot_keys(spark, sf_dir):
-    """W2 on the tied `orders` stream; one form serves hot keys and others."""
-    return _spending_select(feat.customer_spending(_orders_tx(spark, sf_dir), bounds="half_open"))
+    """W2 on the tied `orders` stream where one customer holds a third of all rows."""
+    return _spending_select(feat.customer_spending(_hot(_orders_tx(spark, sf_dir)), bounds="half_open"))
 
 
 @query("nightly_features_job", _feature_sql(90))
