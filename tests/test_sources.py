@@ -1,5 +1,7 @@
 import datetime as dt
+import glob
 import os
+import shutil
 import time
 import uuid
 
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF01, tx_frame
 from txrisk import schema as S
+from txrisk.operators import features as feat
 from txrisk.functions import calendar as cal
 from txrisk.session import scratch_path
 from txrisk.sources import sinks
@@ -102,3 +105,74 @@ def test_folders_are_listed_through_hadoop(spark, tmp_path):
         (tmp_path / d).mkdir()
     assert sinks.partition_values(spark, f"file://{tmp_path}") == ["2024-01-01", "2024-01-02"]
     assert not sinks.folder_exists(spark, f"file://{tmp_path}/none")
+
+
+def _late(spark, path):
+    """Days 1 to 9, where the greatest id lies in day 7's folder."""
+    rows = [(i, D(2024, 1, 1 + i, 2), 1, 1, 1, 0) for i in range(9)] + [(100, D(2024, 1, 7, 12), 1, 1, 1, 0)]
+    sinks.write_daily(tx_frame(spark, rows), path)
+    return rows
+
+
+def test_a_late_id_in_an_older_day_is_the_anchor(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = _late(spark, path)
+    got = sorted(r[0] for r in sinks.read_lookback(spark, path, 4).select(S.TX_ID).collect())
+    assert got == sorted(i for i, t, *_ in rows if t > D(2024, 1, 3, 12))
+    whole = src.read_transactions(spark, path)
+    assert got == sorted(r[0] for r in feat.lookback(whole, 4).select(S.TX_ID).collect())
+
+
+def test_manifest_follows_the_files(spark, tmp_path):
+    path = str(tmp_path / "days")
+    _late(spark, path)
+
+    def last():
+        return {r[S.TX_DATE]: (r.n_rows, r.last_id, r.last_time) for r in sinks.day_manifest(spark, path)}
+    assert len(last()) == 9 and last()["2024-01-07"] == (2, 100, D(2024, 1, 7, 12))
+    assert sinks._versions(spark, path) == [1]
+    # a day that another writer adds, one that it rewrites, and one that goes
+    other = tx_frame(spark, [(200, D(2024, 1, 20, 1, 2, 3), 1, 1, 1, 0), (201, D(2024, 1, 7, 1), 1, 1, 1, 0)])
+    other.withColumn(S.TX_DATE, F.date_format(S.TX_DATETIME, "yyyy-MM-dd")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(S.TX_DATE).parquet(path)
+    shutil.rmtree(f"{path}/{S.TX_DATE}=2024-01-02")
+    found = last()
+    assert found["2024-01-07"] == (1, 201, D(2024, 1, 7, 1)) and found["2024-01-20"] == (1, 200, D(2024, 1, 20, 1, 2, 3))
+    assert "2024-01-02" not in found and len(found) == 9
+    sinks.write_manifest(spark, path)
+    assert sinks._versions(spark, path) == [2] and last() == found
+
+
+def test_manifest_of_known_days_reads_no_rows(spark, tmp_path):
+    path = str(tmp_path / "days")
+    _late(spark, path)
+    for day in sinks.partition_values(spark, path):  # same names and sizes, unreadable content
+        for f in glob.glob(f"{path}/{S.TX_DATE}={day}/part-*"):
+            size = os.path.getsize(f)
+            with open(f, "wb") as out:
+                out.write(b"x" * size)
+    assert max(r.last_id for r in sinks.day_manifest(spark, path)) == 100
+
+
+def test_the_stage_before_a_daily_write_runs_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    tx = src.transactions(spark, SF01)
+    sinks.write_daily(tx.mapInArrow(watch, tx.schema), str(tmp_path / "once"))
+    assert seen.value == 10_000
+
+
+def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
+    one_day = src.transactions(spark, SF01).withColumn(S.TX_DATETIME, F.to_timestamp_ntz(F.lit("2024-01-01 05:00:00"))).repartition(8)
+    kept = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        sinks.write_daily(one_day, str(tmp_path / "large"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", kept)
+    back = spark.read.parquet(str(tmp_path / "large"))
+    assert back.count() == 10_000 and len(back.inputFiles()) > 2

@@ -1,6 +1,8 @@
 import datetime as dt
 import uuid
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import tx_frame
@@ -116,3 +118,84 @@ def test_published_messages_are_the_written_ones(spark):
                      f"{base}/ckpt", publish=lambda df, i: sent.extend(df.collect())).awaitTermination()
     assert len(sent) == 12
     assert sorted(sent) == sorted(spark.read.parquet(f"{base}/out/predictions").select("key", "value").collect())
+
+
+class _Failing:
+    """A publisher that keeps what it is given and fails half-way through chosen batches, once each."""
+
+    def __init__(self, fail):
+        self.fail, self.sent, self.calls = set(fail), [], []
+
+    def __call__(self, msgs, batch_id):
+        rows = msgs.collect()
+        self.calls.append(batch_id)
+        if batch_id in self.fail:
+            self.fail.remove(batch_id)
+            raise RuntimeError("the topic is gone")
+        self.sent += [(batch_id, r.key, r.value) for r in rows]
+
+
+def test_a_failed_batch_is_published_once_and_unchanged_after_a_restart(spark):
+    D = dt.datetime(2024, 1, 1)
+    tx = tx_frame(spark, [(i, D + dt.timedelta(hours=i), i % 3, i % 2, 10.0 + i, i % 2) for i in range(12)])
+    processed = feat.feature_table(tx, lookback_days=None)
+    model = md.fit(processed, {"numTrees": 2, "maxDepth": 2})
+    base = scratch_path(spark, f"test-restart-{uuid.uuid4().hex}")
+    for part in range(3):
+        M.encode_raw_messages(tx.where(F.col(S.TX_ID) % 3 == part).select(*S.MESSAGE_FIELDS)).coalesce(1) \
+            .write.mode("append").json(f"{base}/in")
+    loads = []
+
+    def load():
+        loads.append(1)
+        return processed if len(loads) < 3 else processed.withColumn(S.customer_avg_amount(1), F.lit(1e6))
+
+    def run(publish):
+        q = st.start_scoring(st.file_message_stream(spark, f"{base}/in", max_files_per_trigger=1), load, model,
+                             f"{base}/out", f"{base}/ckpt", publish=publish)
+        q.awaitTermination()
+
+    publish = _Failing({1})
+    with pytest.raises(StreamingQueryException):
+        run(publish)
+    log = {r.batch: (r.predictions, r.published) for r in st.batch_log(spark, f"{base}/out").collect()}
+    assert log == {0: (4, True), 1: (4, False)}
+    before = sorted(tuple(r) for r in spark.read.parquet(f"{base}/out/predictions/batch=1").collect())
+    run(publish)
+    assert publish.calls == [0, 1, 1, 2] and len(loads) == 3, "batch 1 is published again, not scored again"
+    assert sorted(r[1:] for r in publish.sent if r[0] == 1) == before
+    assert sorted(int(r[1]) for r in publish.sent) == list(range(12))
+    assert {r.batch: r.published for r in st.batch_log(spark, f"{base}/out").collect()} == {0: True, 1: True, 2: True}
+    assert sorted(tuple(r) for r in st.read_output(spark, f"{base}/out").collect()) == sorted(r[1:] for r in publish.sent)
+
+
+def test_a_batch_that_fails_while_it_is_written_is_not_seen_and_written_anew(spark):
+    D = dt.datetime(2024, 1, 1)
+    tx = tx_frame(spark, [(i, D + dt.timedelta(hours=i), i % 3, i % 2, 10.0 + i, i % 2) for i in range(8)])
+    processed = feat.feature_table(tx, lookback_days=None)
+    model = md.fit(processed, {"numTrees": 2, "maxDepth": 2})
+    base = scratch_path(spark, f"test-half-{uuid.uuid4().hex}")
+    M.encode_raw_messages(tx.select(*S.MESSAGE_FIELDS)).coalesce(1).write.json(f"{base}/in")
+    # half-written: predictions are there, the other outputs and the mark are not
+    spark.createDataFrame([("9", "left behind")], st.MESSAGE_SCHEMA).write.parquet(f"{base}/out/predictions/batch=0")
+    assert st.read_output(spark, f"{base}/out").collect() == []
+    publish = _Failing(())
+    for _ in range(2):  # the second run finds nothing new
+        st.start_scoring(st.file_message_stream(spark, f"{base}/in"), lambda: processed, model, f"{base}/out", f"{base}/ckpt",
+                         publish=publish).awaitTermination()
+    assert publish.calls == [0] and sorted(int(r[1]) for r in publish.sent) == list(range(8))
+    assert st.read_output(spark, f"{base}/out").where("value = 'left behind'").count() == 0
+
+
+def test_a_batch_marked_done_is_skipped(spark):
+    D = dt.datetime(2024, 1, 1)
+    tx = tx_frame(spark, [(i, D + dt.timedelta(hours=i), 1, 1, 10.0 + i, i % 2) for i in range(4)])
+    processed = feat.feature_table(tx, lookback_days=None)
+    model = md.fit(processed, {"numTrees": 2, "maxDepth": 2})
+    base = scratch_path(spark, f"test-done-{uuid.uuid4().hex}")
+    M.encode_raw_messages(tx.select(*S.MESSAGE_FIELDS)).coalesce(1).write.json(f"{base}/in")
+    publish = _Failing(())
+    for checkpoint in ("a", "b"):  # offsets lost: the stream replays batch 0
+        st.start_scoring(st.file_message_stream(spark, f"{base}/in"), lambda: processed, model, f"{base}/out",
+                         f"{base}/{checkpoint}", publish=publish).awaitTermination()
+    assert publish.calls == [0] and len(publish.sent) == 4
