@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF01, tx_frame
+from incident_rule import incidents_by_rule
 from txrisk import schema as S
 from txrisk.operators import features as feat
 from txrisk.operators import labels as lab
@@ -37,7 +38,7 @@ def _md5_key(*parts):
 
 def test_customer_incidents_equal_day_loop(spark):
     tx = src.transactions(spark, SF01)
-    inc = lab.incidents_by_rule(tx)
+    inc = incidents_by_rule(tx)
     got = {r[S.TX_ID]: r["n_hits"] for r in lab.customer_hits(tx, inc).collect()}
     pdf = tx.select(S.TX_ID, S.CUSTOMER_ID, S.TX_TIME_DAYS).toPandas()
     cust = inc.where("kind = 'customer'").toPandas()

@@ -4,6 +4,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF01, tx_frame
+from incident_rule import incidents_by_rule
 from txrisk import schema as S
 from txrisk.functions.hashing import md5_key
 from txrisk.operators import labels as lab
@@ -14,7 +15,7 @@ from txrisk.sources import transactions as src
 
 def test_scenario_counts_sf001(spark):
     tx = src.transactions(spark, SF01)
-    out = scenario_totals(lab.label_transactions(tx, lab.incidents_by_rule(tx)))
+    out = scenario_totals(lab.label_transactions(tx, incidents_by_rule(tx)))
     got = {r[S.TX_FRAUD_SCENARIO]: r["n_rows"] for r in out.collect()}
     assert got == {0: 8350, 1: 108, 2: 1023, 3: 519}
 
@@ -57,3 +58,33 @@ def test_terminal_interval_bounds(spark):
     inc = spark.createDataFrame([("terminal", 7, 3, 14)], S.INCIDENT)
     hits = sorted(r[0] for r in lab.terminal_hits(tx_frame(spark, rows), inc).select(S.TX_TIME_DAYS).collect())
     assert hits == list(range(3, 17))
+
+
+def test_sessions_of_frauds(spark):
+    D = dt.datetime(2024, 1, 1)
+    days = {1: [0, 1, 3, 6, 7], 2: [5]}  # customer -> fraud days; a gap of one day is bridged, of two is not
+    rows = [(100 * c + d, D + dt.timedelta(days=d), c, 9, 1, 1) for c, ds in days.items() for d in ds]
+    rows += [(900, D + dt.timedelta(days=2), 1, 9, 1, 0), (901, D, 1, 9, 1, 1)]
+    df = tx_frame(spark, rows)
+    df = df.union(df.where(f"{S.TX_ID} = 100").withColumn(S.TERMINAL_ID, F.lit(None)).withColumn(S.CUSTOMER_ID, F.lit(None)))
+    got = sorted(tuple(r) for r in lab.incident_sessions(df).collect())
+    assert got == [("customer", 1, 0, 4), ("customer", 1, 6, 2), ("customer", 2, 5, 1), ("terminal", 9, 0, 8)]
+    assert lab.incident_sessions(df.limit(0)).collect() == []
+    assert lab.incident_sessions(df).schema.simpleString() == S.INCIDENT.simpleString()
+
+
+def test_sessions_equal_a_day_loop(spark):
+    tx = src.transactions(spark, SF01)
+    got = sorted(tuple(r) for r in lab.incident_sessions(tx, gap_days=3).collect())
+    pdf = tx.where("TX_FRAUD = 1").toPandas()
+    want = []
+    for kind, key in (("terminal", S.TERMINAL_ID), ("customer", S.CUSTOMER_ID)):
+        for entity, g in pdf.groupby(key):
+            start = last = None
+            for day in sorted(set(g[S.TX_TIME_DAYS])):
+                if last is not None and day - last > 4:
+                    want.append((kind, entity, start, last - start + 1))
+                    start = None
+                start, last = day if start is None else start, day
+            want.append((kind, entity, start, last - start + 1))
+    assert got == sorted(want)

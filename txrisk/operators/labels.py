@@ -16,7 +16,7 @@ its n_days (entity, day) cells, a table bounded by incidents x n_days.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import schema as S
 from ..sources.transactions import AMOUNT_THRESHOLD
@@ -27,31 +27,32 @@ from .sampling import lowest_k_per_group
 INCIDENT_DAYS = 14
 AMOUNT_MULTIPLIER = 5.0
 CUSTOMER_FRACTION_DIVISOR = 3
-# Deterministic incident rule for the test series: terminal (d*37+11) mod #terminals,
-# customers (d*13 + offset) mod #customers for each offset.
-TERMINAL_STEP, TERMINAL_SHIFT = 37, 11
-CUSTOMER_STEP, CUSTOMER_SHIFTS = 13, (1, 14, 27)
+#: Days without a fraud that a session of frauds may hold.
+GAP_DAYS = 1
 
 
-def incidents_by_rule(tx: DataFrame, n_days: int = INCIDENT_DAYS) -> DataFrame:
-    """Incident table (kind, entity_id, start_day, n_days) for start days 0..max_day-1.
+def incident_sessions(tx: DataFrame, gap_days: int = GAP_DAYS, label_col: str = S.TX_FRAUD) -> DataFrame:
+    """Incidents (kind, entity_id, start_day, n_days) from labelled transactions.
 
-    Everything derives lazily from one aggregate of the transactions (no
-    driver round trip); size is (1 + len(CUSTOMER_SHIFTS)) x days.
+    The days on which a terminal or a customer has frauds are joined to sessions
+    (gaps and islands): a session goes on while at most ``gap_days`` days without a
+    fraud lie between two days with one, and is an incident from its first day to
+    its last. Frauds are reduced to one row for each entity and day before they
+    meet by entity, so a window holds as many rows as there are days, however
+    many frauds an entity has. Rows without entity or day give none.
     """
-    b = tx.agg(F.max(S.TX_TIME_DAYS).alias("max_day"),
-               (F.max(S.CUSTOMER_ID) + 1).alias("n_cust"),
-               (F.max(S.TERMINAL_ID) + 1).alias("n_term"))
-    days = b.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("max_day") - 1)).alias("d"))
-    term = days.select(F.lit("terminal").alias("kind"),
-                       ((F.col("d") * TERMINAL_STEP + TERMINAL_SHIFT) % F.col("n_term")).alias("entity_id"),
-                       F.col("d").alias("start_day"))
-    cust = days.select(F.lit("customer").alias("kind"),
-                       F.explode(F.array(*[(F.col("d") * CUSTOMER_STEP + k) % F.col("n_cust")
-                                           for k in CUSTOMER_SHIFTS])).alias("entity_id"),
-                       F.col("d").alias("start_day"))
-    return (term.unionByName(cust).distinct()
-            .withColumn("n_days", F.lit(n_days)))
+    entity = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).cast("long").alias("entity_id"))
+    days = (tx.where(F.col(label_col) == 1)
+            .select(F.explode(F.array(entity("terminal", S.TERMINAL_ID), entity("customer", S.CUSTOMER_ID))).alias("e"),
+                    F.col(S.TX_TIME_DAYS).cast("long").alias("day"))
+            .select("e.kind", "e.entity_id", "day").where("entity_id is not null and day is not null").distinct())
+    by_entity = Window.partitionBy("kind", "entity_id").orderBy("day")
+    new = F.coalesce((F.col("day") - F.lag("day").over(by_entity) > gap_days + 1).cast("long"), F.lit(1).cast("long"))
+    session = F.sum("_new").over(by_entity)
+    return (days.withColumn("_new", new).withColumn("_session", session)
+            .groupBy("kind", "entity_id", "_session")
+            .agg(F.min("day").alias("start_day"), (F.max("day") - F.min("day") + 1).cast("int").alias("n_days"))
+            .drop("_session"))
 
 
 def _incident_cells(incidents: DataFrame, kind: str, key: str) -> DataFrame:

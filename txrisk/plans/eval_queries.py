@@ -33,7 +33,7 @@ def scores(spark, sf_dir):
     """(model, row_id, label, score): labels from the rules; two amount-based scorers."""
     tx = src.transactions(spark, sf_dir)
     # The raw amount rides along through the labelling (no re-join on the id).
-    labeled = lab.label_transactions(tx.withColumn("RAW_AMOUNT", F.col(S.TX_AMOUNT)), lab.incidents_by_rule(tx))
+    labeled = lab.label_transactions(tx.withColumn("RAW_AMOUNT", F.col(S.TX_AMOUNT)), lab.incident_sessions(tx))
     both = labeled.select(F.col(S.TX_ID).alias("row_id"), F.col(S.TX_FRAUD).alias("label"),
                           F.explode(F.array(F.struct(F.lit("amount").alias("model"), F.col(S.TX_AMOUNT).alias("score")),
                                             F.struct(F.lit("raw_amount").alias("model"),

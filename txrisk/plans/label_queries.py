@@ -15,17 +15,21 @@ from . import sqlparts as Q
 from .registry import query
 from .sqlparts import stable_round
 
-def incidents_sql(step: int = 1) -> str:
-    """CTEs of the rule-made incidents that start on every ``step``-th day, and of the labels they give."""
-    return f"""
-b AS (SELECT max(TX_TIME_DAYS) AS max_day, max(CUSTOMER_ID) + 1 AS n_cust, max(TERMINAL_ID) + 1 AS n_term FROM tx),
-d AS (SELECT unnest(range(0, max_day, {step})) AS d FROM b),
+INCIDENTS_SQL = """
+fraud_days AS (
+  SELECT 'terminal' AS kind, TERMINAL_ID AS entity_id, TX_TIME_DAYS AS day FROM tx WHERE TX_FRAUD = 1
+  UNION
+  SELECT 'customer', CUSTOMER_ID, TX_TIME_DAYS FROM tx WHERE TX_FRAUD = 1
+),
+fraud_sessions AS (
+  SELECT kind, entity_id, day, sum(is_new) OVER (PARTITION BY kind, entity_id ORDER BY day) AS session FROM (
+    SELECT *, CASE WHEN day - lag(day) OVER (PARTITION BY kind, entity_id ORDER BY day) <= 2 THEN 0 ELSE 1 END AS is_new
+    FROM fraud_days WHERE entity_id IS NOT NULL AND day IS NOT NULL)
+),
 inc AS (
-  SELECT DISTINCT kind, CAST(entity_id AS BIGINT) AS entity_id, CAST(start_day AS BIGINT) AS start_day, 14 AS n_days FROM (
-    SELECT 'terminal' AS kind, (d.d * 37 + 11) % b.n_term AS entity_id, d.d AS start_day FROM d, b
-    UNION ALL
-    SELECT 'customer', (d.d * 13 + v.k) % b.n_cust, d.d FROM d, b, (VALUES (1), (14), (27)) v(k)
-  )
+  SELECT kind, CAST(entity_id AS BIGINT) AS entity_id, CAST(min(day) AS BIGINT) AS start_day,
+         CAST(max(day) - min(day) + 1 AS INTEGER) AS n_days
+  FROM fraud_sessions GROUP BY kind, entity_id, session
 ),
 term_hits AS (
   SELECT DISTINCT t.TRANSACTION_ID FROM tx t JOIN inc i
@@ -33,7 +37,7 @@ term_hits AS (
    AND t.TX_TIME_DAYS BETWEEN i.start_day AND i.start_day + i.n_days - 1
 ),
 cand AS (
-  SELECT i.start_day, t.TRANSACTION_ID, {md5_key_sql('i.start_day', 't.TRANSACTION_ID')} AS h
+  SELECT i.start_day, t.TRANSACTION_ID, """ + md5_key_sql('i.start_day', 't.TRANSACTION_ID') + """ AS h
   FROM tx t JOIN inc i
     ON i.kind = 'customer' AND t.CUSTOMER_ID = i.entity_id
    AND t.TX_TIME_DAYS BETWEEN i.start_day AND i.start_day + i.n_days - 1
@@ -54,15 +58,12 @@ labeled AS (
 )"""
 
 
-INCIDENTS_SQL = incidents_sql()
-
-
 def _tx(spark, sf_dir):
     return src.transactions(spark, sf_dir)
 
 
 def _incidents(tx):
-    return lab.incidents_by_rule(tx)
+    return lab.incident_sessions(tx)
 
 
 @query("label_amount", f"""WITH {Q.TX}
