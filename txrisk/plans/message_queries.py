@@ -174,3 +174,15 @@ def lookback_from_partitions(spark, sf_dir):
     path = scratch_path(spark, f"lookback-{uuid.uuid4().hex}")
     sinks.write_daily(src.transactions(spark, sf_dir), path)
     return sinks.read_lookback(spark, path, 14).select(S.TX_ID, S.TX_DATETIME, S.CUSTOMER_ID)
+
+
+@query("latest_file_rows", f"""WITH {Q.TX}
+SELECT TRANSACTION_ID, TX_DATETIME FROM tx WHERE TX_TIME_DAYS = (SELECT max(TX_TIME_DAYS) FROM tx)""")
+def latest_file_rows(spark, sf_dir):
+    """The rows of the newest file, of a folder in which the newest day was written last."""
+    path = scratch_path(spark, f"files-{uuid.uuid4().hex}")
+    tx = src.transactions(spark, sf_dir)
+    newest = tx.select(F.max(S.TX_TIME_DAYS)).scalar()
+    tx.where(F.col(S.TX_TIME_DAYS) < newest).write.parquet(path)
+    tx.where(F.col(S.TX_TIME_DAYS) == newest).coalesce(1).write.mode("append").parquet(path)
+    return src.latest_file(spark.read.schema(S.RAW_TRANSACTION).parquet(path)).select(S.TX_ID, S.TX_DATETIME)
