@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pandas as pd
@@ -75,6 +76,34 @@ def test_bootstrap_is_deterministic_and_full_size(spark):
     assert all(r.n_pos + r.n_neg == 300 for r in a)
 
 
+def _drawn_by_hand(rows, replicates, seed):
+    """{replicate: [(label, score)] drawn} by the definition, in plain Python."""
+    order = sorted((s, y) for _, _, y, s in rows)
+    out = {}
+    for r in range(replicates):
+        js = [int(hashlib.md5(f"{seed}:m:{r}:{k}".encode()).hexdigest()[:15], 16) % len(order) for k in range(len(order))]
+        out[r] = [(order[j][1], order[j][0]) for j in js]
+    return out
+
+
+def test_bootstrap_equals_draws_by_hand_whatever_the_join(spark):
+    """Few scores with long cells (one holds a third of the rows) and many; both ways to meet the cells."""
+    rnd = random.Random(3)
+    for score in (lambda i: rnd.choice([0.5, 0.5, 0.1, 0.2, 0.9]), lambda i: rnd.random()):
+        rows = [("m", i, int(rnd.random() < 0.4), score(i)) for i in range(700)]
+        sc = spark.createDataFrame(rows, "model string, row_id long, label int, score double")
+        want = {r: (sum(y for y, _ in d), _auc_brute(d)) for r, d in _drawn_by_hand(rows, 4, 9).items()}
+        for cells in (10_000, 0):
+            got = {r.replicate: (r.n_pos, r.roc_auc, r.n_neg) for r in bs.bootstrap_auc(sc, 4, 9, broadcast_cells=cells).collect()}
+            assert set(got) == set(want)
+            for r, (n_pos, auc, n_neg) in got.items():
+                assert n_pos == want[r][0] and n_pos + n_neg == 700 and abs(auc - want[r][1]) < 1e-12
+
+
+def test_bootstrap_of_no_rows(spark):
+    assert bs.bootstrap_auc(spark.createDataFrame([], "model string, row_id long, label int, score double"), 3).collect() == []
+
+
 def test_decision_rule(spark):
     aucs = spark.createDataFrame([("a", i, 0.70 + 0.001 * (i % 5)) for i in range(50)]
                                  + [("b", i, 0.80 + 0.001 * (i % 5)) for i in range(50)],

@@ -1,9 +1,13 @@
 """Bootstrap comparison of two scoring models.
 
 E1: each model's scored rows are resampled with replacement, full size, R
-times. Draw k of replicate r picks row ``md5(seed:model:r:k) mod N``: exactly
-N draws per replicate, deterministic, no driver loop. Draws are joined to the
-rows and counted per (model, replicate, score); the exact AUC of each (model,
+times. Rows stand in the order of score, then label, so rows that count alike - a
+cell of one score and label - are a range of positions. Draw k of replicate r
+picks position ``md5(seed:model:r:k) mod N``: exactly N draws per replicate,
+deterministic, no driver loop. What a draw needs is the cell of its position,
+found by an equi-join on the position's high bits; the draws are counted by cell
+where they are made, so what is shuffled are counts of scores x replicates, not
+draws, and rows are never sorted or numbered. The exact AUC of each (model,
 replicate) comes from these counts with the distributed metric.
 
 E2: two-sample equal-variance t-test on the replicate AUCs; promote the
@@ -12,53 +16,72 @@ challenger when p < alpha and its mean AUC is not below the champion's.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.hashing import md5_key60
 from ..functions.stats import t_p_value
 from ..session import written
-from .ids import sequential_ids
 from .metrics import roc_auc
+from .prefix import running_sums
 
 REPLICATES = 100
 ALPHA = 0.05
-#: Scored rows that are broadcast at most: about 40 bytes each.
-BROADCAST_ROWS = 500_000
-
-
-def index_rows(scores: DataFrame, model_col: str = "model", row_col: str = "row_id") -> DataFrame:
-    """Add ``_i`` = 0..N_model-1 and ``_n`` = N_model without a per-model single task."""
-    seq = sequential_ids(scores, [model_col, row_col], id_col="_seq")
-    bounds = seq.groupBy(model_col).agg(F.min("_seq").alias("_s0"), F.count(F.lit(1)).alias("_n"))
+#: Cells that are broadcast at most: three ranges each of about 50 bytes.
+BROADCAST_CELLS = 200_000
+#: Slots that one row of the draws' source stands for.
+PIECE = 1 << 14
+
+
+def score_cells(scores: DataFrame, model_col: str = "model", label_col: str = "label", score_col: str = "score") -> DataFrame:
+    """(model, score, label, first, last, n, m): the positions of each cell, the model's number of rows and its own number."""
+    one = F.col(label_col) == 1
+    per_score = written(scores.groupBy(model_col, score_col).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(~one | one.isNull()).alias("_zeros")), "cells")
+    totals = per_score.groupBy(model_col).agg(F.sum("_n").alias("_n_model")) \
+        .withColumn("_m", F.row_number().over(Window.orderBy(model_col)).cast("long"))
+    ends = running_sums(per_score, [model_col], score_col, ["_n"])
+    start = F.col("_n_cum") - F.col("_n")
+    cell = lambda label, first, last: F.struct(F.lit(label).alias("label"), first.alias("first"), last.alias("last"))
+    both = F.array(cell(0, start, start + F.col("_zeros") - 1), cell(1, start + F.col("_zeros"), F.col("_n_cum") - 1))
     # one row per model: a bounded side
-    return (seq.join(F.broadcast(bounds), model_col)
-            .withColumn("_i", F.col("_seq") - F.col("_s0")).drop("_seq", "_s0"))
+    return (ends.withColumn("_c", F.explode(both)).where("_c.last >= _c.first").join(F.broadcast(totals), model_col)
+            .select(model_col, score_col, F.col("_c.label").alias(label_col), F.col("_c.first").alias("_first"),
+                    F.col("_c.last").alias("_last"), F.col("_n_model").alias("_n"), "_m"))
 
 
 def bootstrap_auc(scores: DataFrame, replicates: int = REPLICATES, seed: int = 42,
-                  model_col: str = "model", row_col: str = "row_id", label_col: str = "label",
-                  score_col: str = "score", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                  model_col: str = "model", label_col: str = "label",
+                  score_col: str = "score", broadcast_cells: int = BROADCAST_CELLS) -> DataFrame:
     """(model, replicate, roc_auc, n_pos, n_neg) for every replicate."""
-    rows = written(index_rows(scores, model_col, row_col), "indexed")
+    cells = written(score_cells(scores, model_col, label_col, score_col), "cells")
     n = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_cells, n_rows = cells.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("_last") - F.col("_first") + 1), F.lit(0))).first()
+    # Draws are made from pieces of a replicate's slots. Pieces of one replicate stand together, so a task
+    # meets few replicates and its counts by score fold many draws into one.
     reps = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate")
-    # The slot table is small before the x replicates expansion, and AQE may have
-    # coalesced it into a few partitions: spread it first so the expansion runs
-    # on every task.
-    slots = rows.select(model_col, "_i", "_n").repartition(n).select(model_col, "_i", "_n", reps)
-    draws = slots.select(model_col, "replicate",
-                         (md5_key60(F.lit(str(seed)), model_col, "replicate", "_i") % F.col("_n")).alias("_j"))
-    # A row drawn twice is met twice by the join, so draws need no counting by row
-    # before their scores are known. Up to ``broadcast_rows`` rows, which is
-    # measured, the draws stay where they are made and only counts by score are
-    # shuffled; beyond, draws and rows meet by a shuffle that can spill.
-    drawn = rows.select(model_col, F.col("_i").alias("_j"), label_col, score_col)
-    if rows.count() <= broadcast_rows:
-        picked = draws.join(F.broadcast(drawn), [model_col, "_j"])
+    slots = cells.groupBy(model_col, "_m").agg(F.max("_n").alias("_n")) \
+        .select(model_col, "_m", "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(PIECE).cast("long"))).alias("_from")) \
+        .select(model_col, "_m", "_n", "_from", reps).repartitionByRange(n, "_m", "replicate", "_from") \
+        .select(model_col, "_m", "_n", "replicate", F.explode(F.sequence("_from", F.least(F.col("_from") + PIECE, F.col("_n")) - 1)).alias("_i"))
+    draws = slots.select(
+        "_m", "replicate", (md5_key60(F.lit(str(seed)), model_col, "replicate", "_i") % F.col("_n")).alias("_j"))
+    # Positions share high bits with about as many ranges as there are cells; a range's key is one
+    # number of model and high bits.
+    shift = max(0, (n_rows // max(n_cells, 1)).bit_length() - 1)
+    key = lambda c: F.shiftleft(F.col("_m"), 48).bitwiseOR(F.shiftright(F.col(c), shift))
+    found = cells.select("_m", label_col, score_col, "_first", "_last", F.explode(F.sequence(key("_first"), key("_last"))).alias("_key")) \
+        .drop("_m")
+    keyed = draws.withColumn("_key", key("_j"))
+    if n_cells <= broadcast_cells:  # measured; the ranges are at most three times as many
+        met = keyed.join(F.broadcast(found), "_key")
     else:
-        picked = draws.repartition(n, model_col, "_j").join(drawn, [model_col, "_j"])
-    return roc_auc(picked, label_col, score_col, group_cols=[model_col, "replicate"],
-                   cuts_from=rows.select(score_col), materialize=True)
+        met = keyed.join(found, "_key")
+    picked = met.where((F.col("_j") >= F.col("_first")) & (F.col("_j") <= F.col("_last"))) \
+        .groupBy("_m", "replicate", score_col, label_col).count()
+    models = F.broadcast(cells.select("_m", model_col).distinct())  # one row for each model
+    picked = picked.join(models, "_m")
+    return roc_auc(picked, label_col, score_col, group_cols=[model_col, "replicate"], weight_col="count",
+                   cuts_from=cells.select(score_col), materialize=True)
 
 
 def replicate_stats(aucs: DataFrame, model_col: str = "model") -> DataFrame:

@@ -83,7 +83,7 @@ def precision_recall(spark, sf_dir):
 
 
 BOOT_SQL = f"""
-idx AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY row_id) - 1 AS i,
+idx AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY score, label) - 1 AS i,
                count(*) OVER (PARTITION BY model) AS n FROM scores),
 draws AS (SELECT s.model, r.replicate, {md5_key60_sql("'" + str(SEED) + "'", 's.model', 'r.replicate', 's.i')} % s.n AS j
           FROM idx s, (SELECT range AS replicate FROM range({R})) r),
