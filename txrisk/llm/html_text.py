@@ -3,7 +3,15 @@
 A page becomes a flat list of text blocks. Each block has its word count and
 link density, those of the block before and the block after, and whether its
 surroundings name boilerplate or an article. A decision tree, trained here on
-the small labelled table below, decides which blocks are main text.
+the small labelled table below, decides which blocks are main text. Names decide
+where there are any; word counts and densities of a block and its neighbours
+decide on the rest, such as pages without an article tag.
+
+A class name speaks for what its element holds, unless that is the page's layout:
+an element that holds the article, or the page's title where there is none, says
+nothing about the blocks in it.
+
+Tags are found in one pass over the page: what is not closed is looked for once.
 
 Pages are independent: one map over whole pages, no shuffle.
 """
@@ -22,7 +30,8 @@ from pyspark.sql import functions as F
 from .common import map_texts
 
 # Fixed values of the markup language.
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+MARKUP = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+TAG_END = re.compile(r">|=\s*([\"'])")
 SILENT = {"script", "style", "head", "noscript", "template", "svg", "iframe", "object", "select", "textarea",
           "button", "canvas", "math", "audio", "video"}
 RAW = {"script", "style", "textarea", "iframe", "noscript", "svg"}
@@ -53,6 +62,9 @@ BOILER_WORDS = {"ad", "ads", "adv", "advert", "advertisement", "advertising", "b
                 "related", "replies", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor",
                 "sponsored", "subscribe", "toolbar", "topbar", "widget"}
 ARTICLE_TAGS = {"article", "main"}
+#: An article's own head is none of the site's.
+HEAD_WORDS = {"header", "masthead"}
+ARTICLE_WORDS = {"article", "post", "entry", "story", "page", "title"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog"}
 ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
@@ -61,62 +73,112 @@ FEATURES = 8
 
 def names_boilerplate(attrs: str) -> bool:
     for key, value in ATTR.findall(attrs):
-        words = re.split(r"[^a-z]+", value.lower())
-        if any(w in BOILER_WORDS for w in words) or key.lower() == "role" and any(w in ROLES for w in words):
+        words = set(re.split(r"[^a-z]+", value.lower()))
+        named = words & BOILER_WORDS
+        if named and not (named <= HEAD_WORDS and words & ARTICLE_WORDS) or key.lower() == "role" and words & ROLES:
             return True
     return False
 
 
+class Markup:
+    """Tags of a page, each found in time that its length takes; ``next(at)`` is the first at or after a place.
+
+    A quote opens a value after an equals sign only. A value or tag without end is
+    looked for once: from then on such quotes, or all quotes, are plain characters.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.plain, self.open_quotes = html, False, set()
+
+    def _end(self, at: int) -> int:
+        if not self.plain:
+            place = at
+            while m := TAG_END.search(self.html, place):
+                if not m[1]:
+                    return m.start()
+                stop = -1 if m[1] in self.open_quotes else self.html.find(m[1], m.end())
+                if stop < 0:
+                    self.open_quotes.add(m[1])
+                place = m.end() if stop < 0 else stop + 1
+            self.plain = True
+        return self.html.find(">", at)
+
+    def next(self, at: int):
+        """(start, end, whether it is an end tag, name in lower case or None, attributes), or None."""
+        m = MARKUP.search(self.html, at)
+        if not m:
+            return None
+        if m[0] == "<!--":
+            stop = self.html.find("-->", m.end())
+            return m.start(), len(self.html) if stop < 0 else stop + 3, False, None, ""
+        stop = self._end(m.end()) if m[2] else self.html.find(">", m.end())
+        if stop < 0:
+            return None
+        return m.start(), stop + 1, bool(m[1]), m[2] and m[2].lower(), self.html[m.end():stop] if m[2] else ""
+
+
 def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
     """(text, words, words inside links, in boilerplate, in an article) of each block, in page order."""
     out: list = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, in boilerplate, in an article
+    open_tags: list[tuple[str, int, bool]] = []  # name, element, in an article
+    is_open: Counter = Counter()
+    # Of each element: its parent, whether its tag or its class names boilerplate, whether it holds an article, a title.
+    parent, by_tag, by_class, holds_article, holds_title = [], [], [], [], []
     text: list[str] = []
     state = {"links": 0, "link": 0}
 
     def close():
         body = " ".join(unescape("".join(text)).split())
         if body:
-            boiler, article = open_tags[-1][1:] if open_tags else (False, False)
-            out.append((body, body.count(" ") + 1, min(state["links"], body.count(" ") + 1), boiler, article))
+            element, article = open_tags[-1][1:] if open_tags else (-1, False)
+            out.append((body, body.count(" ") + 1, min(state["links"], body.count(" ") + 1), element, article))
         text.clear()
         state["links"] = 0
 
     def leave(ended: set, below: set | None = None, walls: set = frozenset()):
         """Close the innermost of the open tags ``ended``, where only tags ``below`` and no ``walls`` stand above it."""
+        if not any(is_open[t] for t in ended):
+            return
         for k in range(len(open_tags) - 1, -1, -1):
             if open_tags[k][0] in ended:
+                is_open.subtract(t[0] for t in open_tags[k:])
                 del open_tags[k:]
                 return
             if open_tags[k][0] in walls or below is not None and open_tags[k][0] not in below:
                 return
 
     def closer(tag: str, start: int):
-        """The next end tag of this name; a name without one is looked for once."""
-        if tag in gone:
-            return None
-        found = re.compile(f"</{tag}(?=[\\s/>]|$)", re.I).search(html, start)
-        if not found:
-            gone.add(tag)
+        """The next end tag of this name; each is looked for once."""
+        found = ends.get(tag, False)
+        if found is False or found is not None and found.start() < start:
+            found = ends[tag] = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|$)", re.I).search(html, start)
+        return found
+
+    def opener(tag: str, start: int):
+        """The next start or end tag of this name."""
+        found = starts.get(tag)
+        if found is None or found.start() < start:
+            found = starts[tag] = re.compile(f"<(/?){re.escape(tag)}(?=[\\s/>]|$)", re.I).search(html, start)
         return found
 
-    gone: set[str] = set()
+    ends: dict = {}
+    starts: dict = {}
     inline: Counter = Counter()
     # The tag whose content is skipped, the tags opened in it, and whether its end is missing.
     skip, inner, unclosed = None, [], False
-    at = 0
-    while m := MARKUP.search(html, at):
-        piece = html[at:m.start()]
-        at = m.end()
+    at, markup = 0, Markup(html)
+    while m := markup.next(at):
+        piece = html[at:m[0]]
+        at = m[1]
         if skip == "head" and piece.strip():
             skip = None
         if skip is None:
             text.append(piece)
             if state["link"]:
                 state["links"] += len(unescape(piece).split())
-        if not m[2]:
+        end, tag, attrs = m[2:]
+        if not tag:
             continue
-        end, tag, attrs = bool(m[1]), m[2].lower(), m[3]
         if skip == "head":
             if end:
                 skip = None if tag == "head" else skip
@@ -140,7 +202,7 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
                 skip = None
                 continue
             if end:
-                parents = tag == "a" and state["link"] or inline[tag] or any(t[0] == tag for t in open_tags)
+                parents = tag == "a" and state["link"] or inline[tag] or is_open[tag]
                 if not parents:
                     continue
             elif unclosed and (tag == skip or tag not in INLINE and tag not in SILENT and tag not in HELD):
@@ -163,7 +225,7 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
                     else:
                         unclosed = True
                 elif tag != "head":
-                    following = re.compile(f"<(/?){tag}(?=[\\s/>]|$)", re.I).search(html, at) if closer(tag, at) else None
+                    following = opener(tag, at) if closer(tag, at) else None
                     unclosed = following is None or not following[1] and tag not in NESTED
                 if tag not in RAW and tag != "head":
                     text.append(" ")
@@ -188,17 +250,32 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
             continue
         if tag in ENDS:
             leave(*ENDS[tag])
-        boiler, article = open_tags[-1][1:] if open_tags else (False, False)
-        if tag in ARTICLE_TAGS:
-            article = True
+        above, article = open_tags[-1][1:] if open_tags else (-1, False)
         own_header = tag == "header" and article
-        boiler = boiler or (tag in BOILER_TAGS and not own_header) or (tag != "body" and names_boilerplate(attrs))
-        open_tags.append((tag, boiler, article))
+        article = article or tag in ARTICLE_TAGS
+        parent.append(above)
+        by_tag.append(tag in BOILER_TAGS and not own_header)
+        by_class.append(tag != "body" and names_boilerplate(attrs))
+        holds_article.append(tag in ARTICLE_TAGS)
+        holds_title.append(tag == "h1")
+        open_tags.append((tag, len(parent) - 1, article))
+        is_open[tag] += 1
     rest = html[at:]
     if skip is None or skip == "head" and rest.strip():
         text.append(rest)
     close()
-    return out
+    # An element is older than what it holds.
+    for k in range(len(parent) - 1, -1, -1):
+        if parent[k] >= 0:
+            holds_article[parent[k]] |= holds_article[k]
+            holds_title[parent[k]] |= holds_title[k]
+    by_title = not any(holds_article)
+    boiler: list[bool] = []
+    for k, up in enumerate(parent):
+        layout = holds_article[k] or by_title and holds_title[k]
+        named = by_tag[k] and not holds_article[k] or by_class[k] and not layout
+        boiler.append(named or up >= 0 and boiler[up])
+    return [(*b[:3], b[3] >= 0 and boiler[b[3]], b[4]) for b in out]
 
 
 def features(page: list) -> np.ndarray:
@@ -250,11 +327,48 @@ LABELLED += [
     [("<article><p>Is.</p></article>", 1)],
     [("<article><p><a href='/a'>A linked line of text</a></p></article>", 1), ("<article><p>Of it.</p></article>", 1)],
     [(f"<p>{_LONG}</p>", 1), (f"<p>{_MORE}</p>", 1)],
-    [("<div>Menu of the day</div>", 0), ("<div>Weather: rain</div>", 0), (f"<p>{_LONG}</p>", 1), (f"<p>{_MORE}</p>", 1),
-     ("<div>Editor: A. Smith</div>", 0), ("<div>Example press</div>", 0)],
 ]
 
 
+def unnamed_pages() -> list:
+    """Pages whose elements have no telling names: counts and densities of neighbours alone tell their blocks apart.
+
+    Titles and short paragraphs stand beside running text, boilerplate lines beside links and the page's edges.
+    """
+    words = (_LONG + " " + _MORE).replace(".", "").split()
+    plain = lambda n: f"<p>{' '.join((words * 9)[:n])}.</p>"
+    links = lambda n: "".join(f"<div><a href='/{w}'>{w} {v}</a></div>" for w, v in zip(words[:n], words[n:]))
+    half = lambda n: f"<p>{' '.join(words[:n])} <a href='/'>{' '.join(words[n:n + max(1, n // 3)])}</a></p>"
+    out = []
+    for long in (16, 24, 45, 90, 200):
+        out += [[(plain(long), 1)], [(links(3), 0), (plain(long), 1)], [(plain(long), 1), (links(3), 0)]]
+        for short in (1, 2, 4, 7, 11):
+            out.append([(links(5), 0), (plain(short), 1), (plain(long), 1), (plain(short), 1), (plain(long), 1),
+                        (half(long), 1), (plain(short), 1), (links(4), 0), (plain(short), 0), (links(2), 0)])
+            out.append([(plain(short), 0), (links(3), 0), (plain(long), 1), (plain(long + short), 1), (links(1), 0),
+                        (plain(min(short, 4)), 0)])
+            out.append([(plain(short), 1), (plain(long), 1), (plain(short), 1), (plain(short), 1), (plain(long), 1)])
+    return out
+
+
+def named_pages() -> list:
+    """Articles of short and linked blocks between named boilerplate of any length: there, names decide."""
+    words = (_LONG + " " + _MORE).replace(".", "").split()
+    part = lambda tag, n: f"<{tag}>{' '.join((words * 9)[:n])}</{tag.split()[0]}>"
+    article = lambda n: f"<article>{part('p', n)}</article>"
+    linked = "<article><p><a href='/a'>An older report</a></p></article>"
+    out = []
+    for n in (1, 3, 8, 20, 60):
+        out.append([(part("nav", n), 0), (article(n), 1), (linked, 1), (article(1), 1), (part("div class='ad'", n), 0), (article(2), 1),
+                    (part("aside", n), 0), (article(n), 1), (part("div class='comment'", n), 0), (part("div class='comment'", 1), 0),
+                    (article(1), 1), (part("footer", n), 0)])
+        out += [[(article(m), 1), (article(n), 1), (article(m), 1)] for m in (1, 3, 12)]
+    return out
+
+
+LABELLED += unnamed_pages() + named_pages()
+
+
 def training_rows(labelled=None) -> tuple[np.ndarray, np.ndarray]:
     x, y = [], []
     for page in LABELLED if labelled is None else labelled:
