@@ -306,3 +306,10 @@ class BitFilter:
 def folded(col) -> F.Column:
     """A-Z in lower case, for native plans."""
     return F.translate(F.coalesce(col, F.lit("")), ASCII_UPPER, ASCII_UPPER.lower())
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL of the unsigned CRC-32 of an ASCII string: eight steps of one bit for each character."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    return f"""xor(CAST(4294967295 AS BIGINT), list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {bits}),
+        lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))))"""

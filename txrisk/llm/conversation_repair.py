@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import quoted
+from .common import crc32_sql, quoted
 
 RETYPE, DELETE, INSERT, CUT = 3, 4, 3, 3
 BLANKS = " \t\n\x0b\x0c\r"
@@ -330,3 +330,61 @@ def reports(rows: DataFrame) -> DataFrame:
             audit, digest, empty = bytearray(), hashlib.sha256(), True
         return _streamed(batches, done, more)
     return _mapped(_ordered(rows), REPORT, make)
+
+
+def oracle() -> str:
+    """Damage, faults and cheapest repairs in SQL: a recursion over rows that carries each state's (cost, initials, messages)."""
+    blanks = " || ".join(f"chr({ord(c)})" for c in BLANKS)
+    key = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    none = "{'c': 1000000000, 'a': '', 'm': ''}"
+    after = lambda x, cost, letter, line="''": f"{{'c': {x}.c + {cost}, 'a': {x}.a || '{letter}', 'm': {x}.m || {line}}}"
+    least = lambda *x: f"list_min([{', '.join(x)}])"
+    own = "chr(10) || role || ':' || text"
+
+    def taken(x, initial, role):
+        kept, turned = after(x, "more", "K", own), after(x, f"more + {RETYPE}", "R", f"chr(10) || '{role}:' || text")
+        return f"CASE WHEN must_go THEN {none} WHEN role[1] = '{initial}' THEN {kept} ELSE {turned} END"
+
+    put = lambda x, role: after(x, INSERT, "I", f"chr(10) || '{role}:'")
+    gone = lambda x: after(x, DELETE, "D")
+    return f"""
+WITH RECURSIVE base AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32_sql(key)} % 20 AS kind FROM conversations),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '{ENDS}', '') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM base WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+         rtrim(text, {blanks}) AS body FROM hurt),
+marked AS (
+  SELECT *, body = '' AS blank, right(body, 1) NOT IN ('.', '!', '?') AS cut, body = '' OR again AS must_go,
+         CASE WHEN right(body, 1) NOT IN ('.', '!', '?') THEN {CUT} ELSE 0 END AS more,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY k) || role[1] AS pair FROM placed),
+walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS k, {{'c': 0, 'a': '', 'm': ''}} AS s, {none} AS y,
+         {{'c': {INSERT}, 'a': 'I', 'm': chr(10) || 'user:'}} AS u,
+         {{'c': {2 * INSERT}, 'a': 'II', 'm': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS a
+  FROM (SELECT DISTINCT conv_id FROM base)
+  UNION ALL
+  SELECT conv_id, k, s, y, {least('u1', put('a1', 'user'))} AS u, a1 AS a FROM (
+    SELECT *, {least('a0', put('u1', 'assistant'))} AS a1 FROM (
+      SELECT *, {least('u0', put('s', 'user'), put('y', 'user'), put('a0', 'user'))} AS u1 FROM (
+        SELECT w.conv_id, r.k, {gone('w.s')} AS s,
+               {least(gone('w.y'), f"CASE WHEN must_go OR role[1] <> 's' THEN {none} ELSE {after('w.s', 'more', 'K', own)} END")} AS y,
+               {least(gone('w.u'), *[taken(f'w.{x}', 'u', 'user') for x in 'sya'])} AS u0,
+               {least(gone('w.a'), taken('w.u', 'a', 'assistant'))} AS a0
+        FROM walk w JOIN marked r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.k = w.k + 1)))),
+ended AS (SELECT conv_id, {least('s', 'a')} AS best FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) = 1),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT blank AND NOT again) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM marked GROUP BY conv_id)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(best.c AS BIGINT) AS cost, best.a AS audit,
+       sha256(substr(best.m, 2)) AS repaired_sha256
+FROM ended e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id"""

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_UPPER, discard, quoted, stored
+from .common import ASCII_UPPER, crc32_sql, discard, quoted, stored
 
 FANOUT_BITS = 4
 FANOUT = 1 << FANOUT_BITS
@@ -243,9 +243,7 @@ def audits(found: DataFrame) -> DataFrame:
 
 def oracle(source_levels: int = 4, top_levels: int = 3) -> str:
     """The manifest in SQL, for sources of up to 16**source_levels rows and 16**top_levels sources."""
-    bits = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
-    crc = f"""xor(CAST(4294967295 AS BIGINT), list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {bits}),
-        lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))))"""
+    crc = crc32_sql("CAST(doc_id AS VARCHAR)")
 
     def leaf(text):
         def field(c):

@@ -90,4 +90,5 @@ def oracle_sql() -> dict[str, str]:
             "op2_license_scan": licenses.oracle().strip(),
             "op6_jaccard_join": jaccard_join.ORACLE.strip(),
             "op8_chat_perspectives": chat.ORACLE.strip(),
-            "op11_merkle_manifest": merkle.oracle().strip()}
+            "op11_merkle_manifest": merkle.oracle().strip(),
+            "op12_conversation_repair": conversation_repair.oracle().strip()}
