@@ -1,7 +1,8 @@
 """Token counts of a piece vocabulary by rank-synchronous merging (operator 3).
 
 Texts are cut where no piece of the vocabulary can span the cut, into
-pre-tokens. The pre-tokens of a slice that the worker does not know yet are
+pre-tokens: before space marks, and inside long words between any two characters
+that no piece holds side by side. The pre-tokens of a slice that the worker does not know yet are
 held together as one ragged array of symbols. In each round every pre-token
 applies its lowest-rank pair, all at the same time, until none has a pair
 left; then the surviving symbols are counted, a symbol without a piece of its
@@ -12,6 +13,8 @@ Rows are independent: one map over whole texts, no shuffle.
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
@@ -22,6 +25,8 @@ from .common import Memo, map_texts, slices
 SPACE = "▁"
 MEMO_ENTRIES = 1 << 18
 MEMO_PIECE_CHARS = 64
+#: Words of more characters are cut further.
+LONG_WORD = 64
 #: Symbols that are merged together at most; a longer pre-token is merged alone.
 RAGGED_SYMBOLS = 1 << 20
 NO_RANK = np.int64(1) << 40
@@ -62,6 +67,7 @@ class PieceCounter:
         inner = {a for a, b in spans if b == SPACE and a != SPACE}
         word = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
         self.pieces = regex.compile(word).findall if not inner else (lambda text: [text])
+        self.spans = np.sort(np.array([ord(a) * 0x110000 + ord(b) for a, b in spans], dtype=np.int64))
         # Symbol of each code point; minus its number of UTF-8 bytes where no piece holds it.
         point = np.arange(0x110000)
         self.of_char = -(1 + (point > 0x7F) + (point > 0x7FF) + (point > 0xFFFF)).astype(np.int32)
@@ -132,8 +138,22 @@ class PieceCounter:
         stay[at + 1] = False
         return sym[stay], seq[stay]
 
+    def _parts(self, word: str) -> list[str]:
+        """A long word, cut between characters that no piece holds side by side: no merge crosses these places."""
+        point = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        key = point[:-1] * 0x110000 + point[1:]
+        at = np.minimum(np.searchsorted(self.spans, key), len(self.spans) - 1)
+        places = [0, *(np.flatnonzero(self.spans[at] != key) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in pairwise(places)]
+
+    def _words(self, text: str) -> list[str]:
+        words = self.pieces(SPACE + text.replace(" ", SPACE))
+        if max(map(len, words)) <= LONG_WORD:
+            return words
+        return [p for w in words for p in (self._parts(w) if len(w) > LONG_WORD else (w,))]
+
     def count(self, texts: list[str]) -> list[int]:
-        cut = [self.pieces(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        cut = [self._words(t) if t else [] for t in texts]
         known, fresh = {}, []
         for w in set().union(*cut):
             n = self.memo.find(w)
