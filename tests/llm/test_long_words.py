@@ -41,6 +41,7 @@ def test_a_very_long_word_is_counted_in_time(both, name):
 
 
 def test_parts_join_to_the_word(both):
-    word = "".join(random.Random(5).choice(ALPHABETS["base64"]) for _ in range(1000))
+    rng = random.Random(5)
+    word = "".join(rng.choice(ALPHABETS["base64"]) for _ in range(1000))
     parts = both[0]._parts(word)
     assert "".join(parts) == word and len(parts) > 100 and both[0]._parts("a" * 100) == ["a" * 100]
