@@ -143,8 +143,8 @@ def encode_and_decode(df: DataFrame, path: str, pattern: str, text_col: str = "t
                       keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (default: all) with ``ids array<int>`` and ``decoded string``.
 
-    One row for each input row, repeated rows too. A null or empty text has no
-    ids and decodes to the empty string; a special token's string inside a text
+    One row for each input row, repeated rows too; an empty table gives none. A
+    null or empty text has no ids and decodes to the empty string; a special token's string inside a text
     becomes that token, as the library does by default. Texts of any length are
     encoded whole. An input column named ``ids`` or ``decoded`` gives way.
     ``path`` must be readable by every executor, as the tokenizer files are.

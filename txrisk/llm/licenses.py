@@ -136,7 +136,8 @@ def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None,
     across lines, and ``line`` is a window's first word; labels also has those of
     ``NOTICES``, and score is 1 with one.
 
-    A null or empty text has no words and no labels. One row for each input row,
+    A null or empty text has no words and no labels; an empty table gives no rows.
+    Equal scores of a line keep the labels of all their templates. One row for each input row,
     repeated rows too; lines of any length are read whole. Input columns named
     like new ones give way.
     """

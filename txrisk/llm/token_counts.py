@@ -173,8 +173,8 @@ def count_tokens(df: DataFrame, path: str, text_col: str = "text", keep: list[st
     """Columns ``keep`` (default: all) with ``n_bytes long`` and ``n_tokens long``.
 
     One row for each input row, repeated rows too. A null or empty text has 0
-    bytes and 0 tokens. Texts of any length are counted whole. An input column
-    named like a new one gives way. ``path`` must be readable by every executor.
+    bytes and 0 tokens; an empty table gives no rows. Texts of any length are counted
+    whole. An input column named like a new one gives way. ``path`` must be readable by every executor.
     """
     def make():
         counter = PieceCounter(path)
