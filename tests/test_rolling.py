@@ -171,3 +171,34 @@ def test_terminal_risk_of_rows_without_labels_or_times(spark):
 def test_empty_input(spark):
     empty = src.transactions(spark, SF01).limit(0)
     assert feat.feature_table(empty).collect() == [] and feat.customer_spending(empty, bounds="half_open").collect() == []
+
+
+def test_scopes_delete_their_own_tables_only(spark):
+    import glob
+    import os
+    import threading
+
+    from txrisk.session import scratch_path, scratch_scope, written
+
+    def folders():
+        return {os.path.basename(p) for p in glob.glob(scratch_path(spark, "scope-*").replace("file:", ""))}
+    one, two = spark.range(3), spark.range(4)
+    other = []
+
+    def elsewhere():
+        other.append(written(two, "scope-b"))
+    with scratch_scope(spark):
+        kept = written(one, "scope-a")
+        thread = threading.Thread(target=elsewhere)
+        thread.start()
+        thread.join()
+        assert kept.count() == 3 and len(folders()) == 2
+        with scratch_scope(spark):
+            written(one, "scope-c")
+            assert len(folders()) == 3
+        assert len(folders()) == 2
+    assert [f[:7] for f in folders()] == ["scope-b"] and other[0].count() == 4
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark):
+        written(one, "scope-d")
+        raise ZeroDivisionError
+    assert [f[:7] for f in folders()] == ["scope-b"]

@@ -34,6 +34,13 @@ def train_and_validate(spark: SparkSession, processed: DataFrame, runs_path: str
     the promoted champion by bootstrap ROC AUC on the same validation rows and
     a two-sample t-test. Returns the run record appended for the candidate.
     """
+    with scratch_scope(spark):
+        return _train_and_validate(spark, processed, runs_path, models_path, days_back, delta_train, delta_delay, delta_val,
+                                   space, n_iter, replicates, alpha, seed)
+
+
+def _train_and_validate(spark, processed, runs_path, models_path, days_back, delta_train, delta_delay, delta_val,
+                        space, n_iter, replicates, alpha, seed) -> DataFrame:
     import datetime as dt
     import uuid
 

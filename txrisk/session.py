@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,7 +76,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-_scopes: list[list[str]] = []
+class _Scopes(threading.local):
+    """The scratch scopes that a thread is in, the innermost last: jobs of other threads keep their tables."""
+
+    def __init__(self):
+        self.open: list[list[str]] = []
+
+
+_scopes = _Scopes()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -90,8 +98,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    if _scopes:
-        _scopes[-1].append(path)
+    if _scopes.open:
+        _scopes.open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -99,11 +107,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def scratch_scope(spark: SparkSession):
     """Delete the tables written inside at the end: for jobs that write their result before they return."""
     paths: list[str] = []
-    _scopes.append(paths)
+    _scopes.open.append(paths)
     try:
         yield
     finally:
-        _scopes.remove(paths)
+        _scopes.open.pop()
         for path in paths:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
