@@ -78,3 +78,53 @@ def test_lists_in_ranges_are_sorted(spark):
     cust = spark.createDataFrame([(1,), (2,), (3,)], "cid long")
     got = {r.cid: (r.available_terminals, r.nb_terminals) for r in sp.terminal_lists(cust, pairs, "cid", "tid").collect()}
     assert got == {1: ([3, 5, 65_536, 70_000, 200_000], 5), 2: ([-4, 9], 2), 3: ([], 0)}
+
+
+def _spread(n, seed):
+    import random
+    rnd = random.Random(seed)
+    return [(i, rnd.uniform(0, 30), rnd.uniform(0, 30)) for i in range(n)]
+
+
+def test_pairs_are_dealt_by_their_number_not_by_bytes(spark):
+    """Few bytes with many pairs: as many tasks as asked for, and no cell's pairs in one of them."""
+    c, t = _spread(600, 5), _spread(300, 6)
+    pairs = _pairs(spark, c, t, least=10_000)
+    assert sorted((r.cid, r.tid) for r in pairs.collect()) == _brute(c, t)
+    sizes = [n for n in pairs.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert len(sizes) > 4 and max(sizes) < sum(sizes) / 2
+    cust, term = spark.createDataFrame(c, "cid long, cx double, cy double"), spark.createDataFrame(t, "tid long, tx double, ty double")
+    cut = sp.within_radius(cust, term, 5.0, "cid", "cx", "cy", "tid", "tx", "ty", pairs=(100, 100))
+    sizes = cut.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) > 100 and max(sizes) < 1000
+    assert sorted((r.cid, r.tid) for r in cut.collect()) == _brute(c, t)
+
+
+def test_lists_without_a_row_per_pair(spark):
+    """Lists of arrays equal the lists of pairs: whole cells, split and chunked ones, repeated keys, rows without a place."""
+    c = _spread(300, 7) + [(i, 1.0, 1.0) for i in range(295, 420)] + [(900, 80.0, 80.0), (901, float("nan"), 1.0)]
+    t = _spread(200, 8) + [(i - 300, 1.0 + i / 400, 1.0) for i in range(150)] + [(3, 1.0, 1.0)]
+    cust, term = spark.createDataFrame(c, "cid long, cx double, cy double"), spark.createDataFrame(t, "tid long, tx double, ty double")
+    rows = lambda df: sorted((r.cid, r.available_terminals, r.nb_terminals) for r in df.collect())
+    near = {}
+    for i, j in _brute(c, t):
+        near.setdefault(i, []).append(j)
+    # a repeated key has the lists of all its points, in each of its rows
+    want = sorted((i, sorted(near.get(i, [])), len(near.get(i, []))) for i, _, _ in c)
+    for least, most in ((10_000, 10**6), (10_000, 50), (100, 100)):
+        got = sp.within_radius(cust, term, 5.0, "cid", "cx", "cy", "tid", "tx", "ty", least=least, pairs=(most, most), lists=True)
+        assert got.schema["tid"].dataType.simpleString() == "array<bigint>"
+        assert rows(sp.terminal_lists(cust, got, "cid", "tid")) == want
+    none = sp.within_radius(cust, term.limit(0), 5.0, "cid", "cx", "cy", "tid", "tx", "ty", lists=True)
+    assert {r.nb_terminals for r in sp.terminal_lists(cust, none, "cid", "tid").collect()} == {0}
+
+
+def test_fast_rounding_is_the_same(spark):
+    import random
+    from pyspark.sql import functions as F
+    from txrisk.plans.sqlparts import stable_round, stable_round_fast
+    rnd = random.Random(9)
+    xs = [0.0, -0.0, 1.2345675, 2.5e-7, 4.9999995, -1.5e-6, 1e300, -7.0, 0.1234565, 3.0000005 - 1e-9, float("nan"), float("inf"), None]
+    xs += [rnd.uniform(-10, 10) for _ in range(3000)] + [k / 2e6 - 1e-9 for k in range(1, 400, 2)] + [rnd.uniform(0, 1e9) for _ in range(200)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    assert df.where(~stable_round(F.col("x")).eqNullSafe(stable_round_fast(F.col("x")))).collect() == []

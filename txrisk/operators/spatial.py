@@ -14,17 +14,28 @@ of the targets, and the other way round, so a cell that holds a third of all
 points is many (cell, a, b) tasks. Without heavy cells none of this is in the
 plan. The tables of heavy cells have at most one row for each shuffle partition
 and level.
+
+What a task costs are the pairs that it tries, points times targets of its cells,
+however few bytes they are read from. So cells are also cut by pairs, and dealt to
+as many tasks as the pairs of all cells ask for; neither sizes in bytes nor the
+files of the input decide. Such cells are at most 64 for each shuffle partition.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 DEEPEST = 12
 #: Fewer rows than this in a cell are never worth a task of their own.
 LEAST = 10_000
+#: Pairs that a part of a cell tries: no fewer than the first, and no more than the second unless parts get too many.
+LEAST_PAIRS, MOST_PAIRS = 1_000_000, 16_000_000
+#: Pairs that are tried at once where lists are made.
+BLOCK = 1 << 20
 CELL = ["_d", "_cx", "_cy"]
 #: Slack of the reach test in units of r: it may only keep too many; the exact distance decides.
 SLACK = 1e-9
@@ -100,40 +111,123 @@ def _chunked(df: DataFrame, key: str, own: str, others: str, chunks: dict[str, D
                            others: F.explode(F.sequence(F.lit(0), F.col(f"{others}n") - 1))}).drop(f"{own}n", f"{others}n")
 
 
-def within_radius(points: DataFrame, targets: DataFrame, r: float,
-                  pkey: str, px: str, py: str, tkey: str, tx: str, ty: str, least: int = LEAST) -> DataFrame:
-    """(pkey, tkey, distance) for every pair closer than r.
+def _work(p: DataFrame, t: DataFrame, b: DataFrame | None, n: int, rows: float, least: int, most: int) -> tuple[DataFrame | None, int]:
+    """Chunks of the points of cells with many pairs, or more than ``rows`` points, to be broadcast, and the number of tasks for all pairs."""
+    cells = p.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_np")).join(t.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_nt")), CELL, "left") \
+        .withColumn("_tried", F.col("_np").cast("double") * F.coalesce("_nt", F.lit(0)))
+    total = cells.agg(F.coalesce(F.sum("_tried"), F.lit(0.0))).first()[0]
+    share = max(least, min(most, total / (4 * n)), total / (64 * n))
+    if b is not None:
+        cells = cells.join(b, CELL, "left").withColumn("_tried", F.col("_tried") / F.coalesce("_bn", F.lit(1)))
+    wanted = F.least(F.greatest(F.ceil(F.col("_tried") / share), F.ceil(F.col("_np") / F.lit(rows))), F.col("_np"))
+    found = cells.where((F.col("_tried") > share) | (F.col("_np") > rows)).select(*CELL, wanted.cast("int").alias("_an")).collect()
+    kind = ", ".join(f"{c} {p.schema[c].dataType.simpleString()}" for c in CELL) + ", _an int"
+    return F.broadcast(p.sparkSession.createDataFrame(found, kind)) if found else None, max(n, math.ceil(total / share))
 
-    Repeated keys are points of their own; rows without a finite place have no
-    pairs. ``least``: cells with fewer rows stay whole.
-    """
+
+def _dealt(points: DataFrame, targets: DataFrame, r: float, pkey: str, px: str, py: str, tkey: str, tx: str, ty: str,
+           least: int, pairs: tuple[int, int]) -> tuple[DataFrame, DataFrame, list[str], int]:
+    """Points and targets with the columns on which they meet, these columns, and the number of tasks."""
     n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     p = _placed(points, pkey, px, py, r, "p")
     share = _share(p.count(), n, least)
     p, levels = _split_points(p, share)
     t = _reached(_placed(targets, tkey, tx, ty, r, "t"), levels)
-    chunks = {"_a": _heavy(p, CELL, share, "_an") if len(levels) == DEEPEST else None,
-              "_b": _heavy(t, CELL, _share(t.count(), n, least), "_bn")}
-    keys = CELL
+    chunks = {"_b": _heavy(t, CELL, _share(t.count(), n, least), "_bn")}
+    chunks["_a"], tasks = _work(p, t, chunks["_b"], n, float(share) if len(levels) == DEEPEST else math.inf, *pairs)
+    # Without heavy cells the level is one constant, which Spark would drop from the join's keys and deal the rows anew.
+    keys = CELL if levels else CELL[1:]
     if any(c is not None for c in chunks.values()):
-        keys = [*CELL, "_a", "_b"]
+        keys = [*keys, "_a", "_b"]
         p, t = _chunked(p, pkey, "_a", "_b", chunks), _chunked(t, tkey, "_b", "_a", chunks)
-    dist = F.sqrt(F.pow(F.col("_px") - F.col("_tx"), 2) + F.pow(F.col("_py") - F.col("_ty"), 2))
-    return (p.select(pkey, "_px", "_py", *keys).join(t.select(tkey, "_tx", "_ty", *keys), keys)
-            .select(pkey, tkey, dist.alias("distance"))
+    return p.select(pkey, "_px", "_py", *keys), t.select(tkey, "_tx", "_ty", *keys), keys, tasks
+
+
+def within_radius(points: DataFrame, targets: DataFrame, r: float,
+                  pkey: str, px: str, py: str, tkey: str, tx: str, ty: str, least: int = LEAST,
+                  pairs: tuple[int, int] = (LEAST_PAIRS, MOST_PAIRS), lists: bool = False) -> DataFrame:
+    """(pkey, tkey, distance) for every pair closer than r.
+
+    Repeated keys are points of their own; rows without a finite place have no
+    pairs. ``least``: cells with fewer rows stay whole. ``pairs``: parts of cells
+    try no fewer and no more pairs. ``lists``: the same pairs as rows of (pkey,
+    ascending array of tkey), one for each point and part of its cell that has
+    any; integer keys only.
+    """
+    p, t, keys, tasks = _dealt(points, targets, r, pkey, px, py, tkey, tx, ty, least, pairs)
+    if lists:
+        return _lists(p, t, keys, tasks, r, pkey, tkey)
+    dx, dy = F.col("_px") - F.col("_tx"), F.col("_py") - F.col("_ty")
+    # A number of partitions that is asked for stays: their few bytes say nothing of their pairs.
+    return (p.repartition(tasks, *keys).join(t.repartition(tasks, *keys).hint("shuffle_hash"), keys)
+            .select(pkey, tkey, F.sqrt(dx * dx + dy * dy).alias("distance"))
             .where(F.col("distance") < F.lit(float(r))))
 
 
+def _by_cell(rows: pa.Table, keys: list[str]) -> tuple[list[np.ndarray], list[tuple], np.ndarray]:
+    """Key, x and y of the rows, ordered by cell and key; the cells; where each begins."""
+    key, x, y, *cell = (c.to_numpy() for c in rows.columns)
+    order = np.lexsort((key, *reversed(cell)))
+    cell = [c[order] for c in cell]
+    new = np.flatnonzero(np.append(True, np.any([c[1:] != c[:-1] for c in cell], axis=0))) if len(key) else np.zeros(0, dtype=int)
+    return [c[order] for c in (key, x, y)], list(zip(*(c[new].tolist() for c in cell))), np.append(new, len(key))
+
+
+def _lists(p: DataFrame, t: DataFrame, keys: list[str], tasks: int, r: float, pkey: str, tkey: str) -> DataFrame:
+    """(pkey, ascending tkeys) from the parts of cells, so that no pair is a row."""
+    kinds = [p.schema[pkey].dataType, t.schema[tkey].dataType]
+
+    def met(points: pa.Table, targets: pa.Table) -> pa.Table:
+        (pk, px, py), cells, at = _by_cell(points.drop_columns(["_task"]), keys)
+        (tk, tx, ty), others, there = _by_cell(targets.drop_columns(["_task"]), keys)
+        where = {c: (there[i], there[i + 1]) for i, c in enumerate(others)}
+        ids, sizes, found = [pk[:0]], [np.zeros(0, dtype=np.int64)], [tk[:0]]
+        for i, c in enumerate(cells):
+            a, b = where.get(c, (0, 0))
+            if a == b:
+                continue
+            step = max(1, BLOCK // int(b - a))
+            for lo in range(at[i], at[i + 1], step):
+                hi = min(lo + step, at[i + 1])
+                dx, dy = px[lo:hi, None] - tx[None, a:b], py[lo:hi, None] - ty[None, a:b]
+                near = np.sqrt(dx * dx + dy * dy) < r
+                n = near.sum(1)
+                ids.append(pk[lo:hi][n > 0])
+                sizes.append(n[n > 0])
+                found.append(tk[a:b][np.nonzero(near)[1]])
+        ends = np.append(0, np.cumsum(np.concatenate(sizes)))
+        values = pa.array(np.concatenate(found))
+        lists = pa.LargeListArray.from_arrays(ends, values) if len(values) >> 31 else pa.ListArray.from_arrays(ends.astype(np.int32), values)
+        return pa.Table.from_arrays([pa.array(np.concatenate(ids)), lists], names=[pkey, tkey])
+
+    task = F.pmod(F.xxhash64(*keys), F.lit(tasks)).alias("_task")
+    # Keys that are null are left out: they are no numbers, and no list holds them.
+    side = lambda df, key: df.where(F.col(key).isNotNull()).select("*", task).repartition(tasks, "_task").groupBy("_task")
+    return side(p, pkey).cogroup(side(t, tkey)).applyInArrow(
+        met, f"`{pkey}` {kinds[0].simpleString()}, `{tkey}` array<{kinds[1].simpleString()}>")
+
+
 def terminal_lists(points: DataFrame, pairs: DataFrame, pkey: str, tkey: str,
                    list_col: str = "available_terminals", count_col: str = "nb_terminals", chunk_bits: int = 16) -> DataFrame:
     """Sorted list of terminals per customer and its length; customers with none get [].
 
     Lists are built by ranges of 2**chunk_bits terminal ids first and joined end
-    to end, so no sort takes a whole list.
+    to end, so no sort takes a whole list. Where ``pairs`` holds ascending arrays
+    of terminals (``within_radius`` with ``lists``), only customers with several
+    of them need a sort.
     """
+    if isinstance(pairs.schema[tkey].dataType, T.ArrayType):
+        gathered = pairs.groupBy(pkey).agg(F.collect_list(tkey).alias("_parts"))
+        lists = gathered.select(pkey, F.when(F.size("_parts") == 1, F.col("_parts")[0])
+                                .otherwise(F.sort_array(F.flatten("_parts"))).alias(list_col))
+        return _listed(points, lists, pkey, list_col, count_col)
     parts = pairs.groupBy(pkey, F.shiftright(F.col(tkey), chunk_bits).alias("_range")).agg(F.sort_array(F.collect_list(tkey)).alias("_part"))
     lists = parts.groupBy(pkey).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_range", "_part"))),
                                                           lambda x: x["_part"])).alias(list_col))
+    return _listed(points, lists, pkey, list_col, count_col)
+
+
+def _listed(points: DataFrame, lists: DataFrame, pkey: str, list_col: str, count_col: str) -> DataFrame:
     out = points.select(pkey).join(lists, pkey, "left")
     out = out.withColumn(list_col, F.coalesce(F.col(list_col), F.array().cast(lists.schema[list_col].dataType)))
     return out.withColumn(count_col, F.size(list_col))

@@ -12,6 +12,19 @@ def stable_round(col, digits: int = 6):
     """
     return F.round(col + F.lit(1e-9), digits)
 
+
+def stable_round_fast(col, digits: int = 6):
+    """The same value as :func:`stable_round` for a row per pair: decimals are made only near ties and for large values.
+
+    Away from a tie the whole number of units is certain, and its quotient by a
+    power of ten is the double nearest to that decimal, which ``round`` gives.
+    """
+    x, unit = col + F.lit(1e-9), F.lit(10.0 ** digits)
+    whole = F.floor(x * unit)
+    rest = x * unit - whole
+    certain = (F.abs(x * unit) < 1e12) & (F.abs(rest - 0.5) > 1e-3)
+    return F.when(certain, (whole + (rest > 0.5).cast("long")) / unit).otherwise(F.round(x, digits))
+
 # The canonical transactions view over `events` (same mapping as
 # sources.transactions.events_to_transactions), with the whole-second key.
 TX = """
