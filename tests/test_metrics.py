@@ -112,3 +112,27 @@ def test_decision_rule(spark):
     assert r.p_value < 0.05 and r.decision == "promote"
     r2 = bs.decide(bs.t_test(aucs, champion="b", challenger="a")).first()
     assert r2.decision == "keep"
+
+
+def test_numbered_keys_are_those_of_md5():
+    """Draws' keys for whole pieces: numbers of several lengths, prefixes around a block's end, letters of several bytes."""
+    import hashlib
+    from txrisk.functions.hashing import md5_key60_numbered
+    for prefix in ("42:amount:3:", "", "é" * 31 + ":", *("x" * n for n in (46, 47, 51, 54, 55, 63, 64, 130))):
+        for start, end in ((0, 1200), (99_990, 100_020), (123_456_789, 123_456_800), (5, 5)):
+            want = [int(hashlib.md5(f"{prefix}{k}".encode()).hexdigest()[:15], 16) for k in range(start, end)]
+            assert md5_key60_numbered(prefix, start, end).tolist() == want
+
+
+def test_bootstrap_hashes_no_row_per_draw(spark):
+    """Draws are counted where they are made: no plan hashes them one by one or makes a row of each."""
+    sc = spark.createDataFrame([("m", i, int(i % 3 == 0), float(i % 7)) for i in range(200)], "model string, row_id long, label int, score double")
+    seen, kept = [], bs.roc_auc
+    try:
+        bs.roc_auc = lambda df, *a, **k: seen.append(df) or kept(df, *a, **k)
+        bs.bootstrap_auc(sc, 3, 1).collect()
+    finally:
+        bs.roc_auc = kept
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and "MapInArrow" in plan
+    assert seen[0].agg({"count": "sum"}).first()[0] == 3 * 200

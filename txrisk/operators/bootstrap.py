@@ -5,10 +5,12 @@ times. Rows stand in the order of score, then label, so rows that count alike -
 cell of one score and label - are a range of positions. Draw k of replicate r
 picks position ``md5(seed:model:r:k) mod N``: exactly N draws per replicate,
 deterministic, no driver loop. What a draw needs is the cell of its position,
-found by an equi-join on the position's high bits; the draws are counted by cell
-where they are made, so what is shuffled are counts of scores x replicates, not
-draws, and rows are never sorted or numbered. The exact AUC of each (model,
-replicate) comes from these counts with the distributed metric.
+found by binary search among the cells' first positions; the draws are made in
+numpy, thousands at a time, and counted by cell where they are made, so what is
+shuffled are counts of scores x replicates, not draws, and rows are never sorted
+or numbered. Where there are more cells than are broadcast, the draws meet them in
+an equi-join on the position's high bits. The exact AUC of each (model, replicate)
+comes from these counts with the distributed metric.
 
 E2: two-sample equal-variance t-test on the replicate AUCs; promote the
 challenger when p < alpha and its mean AUC is not below the champion's.
@@ -16,9 +18,11 @@ challenger when p < alpha and its mean AUC is not below the champion's.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.hashing import md5_key60
+from ..functions.hashing import md5_key60_numbered
 from ..functions.stats import t_p_value
 from ..session import written
 from .metrics import roc_auc
@@ -26,7 +30,7 @@ from .prefix import running_sums
 
 REPLICATES = 100
 ALPHA = 0.05
-#: Cells that are broadcast at most: three ranges each of about 50 bytes.
+#: Cells that are broadcast at most: about 50 bytes each.
 BROADCAST_CELLS = 200_000
 #: Slots that one row of the draws' source stands for.
 PIECE = 1 << 14
@@ -49,6 +53,48 @@ def score_cells(scores: DataFrame, model_col: str = "model", label_col: str = "l
                     F.col("_c.last").alias("_last"), F.col("_n_model").alias("_n"), "_m"))
 
 
+def _draws(batches, seed: int):
+    """(number of the model, replicate, positions drawn) for each piece."""
+    for b in batches:
+        for m, model, n, first, r in zip(*(c.to_pylist() for c in b.columns)):
+            yield m, r, (md5_key60_numbered(f"{seed}:{model}:{r}:", first, min(first + PIECE, n)) % np.uint64(n)).astype(np.int64)
+
+
+def _drawn(pieces: DataFrame, seed: int) -> DataFrame:
+    """(_m, replicate, _j): a row for every draw."""
+    def draw(batches):
+        for m, r, j in _draws(batches, seed):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), m)), pa.array(np.full(len(j), r, dtype=np.int32)), pa.array(j)],
+                                             names=["_m", "replicate", "_j"])
+    return pieces.mapInArrow(draw, "_m long, replicate int, _j long")
+
+
+def _counted(pieces: DataFrame, cells: DataFrame, seed: int) -> DataFrame:
+    """(_m, replicate, _first, _drawn): how often the pieces of each partition draw the cell that begins at ``_first``."""
+    at = cells.select("_m", "_first").toPandas()  # as many as are broadcast at most
+    sent = cells.sparkSession.sparkContext.broadcast({m: np.sort(g.to_numpy(dtype=np.int64)) for m, g in at.groupby("_m")["_first"]})
+
+    def count(batches):
+        now, drawn = None, None
+
+        def rows():
+            met = np.flatnonzero(drawn)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(met), now[0])), pa.array(np.full(len(met), now[1], dtype=np.int32)),
+                 pa.array(sent.value[now[0]][met]), pa.array(drawn[met])], names=["_m", "replicate", "_first", "_drawn"])
+        for m, r, j in _draws(batches, seed):
+            first = sent.value[m]
+            if now != (m, r):
+                if now:
+                    yield rows()
+                now, drawn = (m, r), np.zeros(len(first), dtype=np.int64)
+            j.sort()
+            drawn += np.bincount(np.searchsorted(first, j, "right") - 1, minlength=len(first))
+        if now:
+            yield rows()
+    return pieces.mapInArrow(count, "_m long, replicate int, _first long, _drawn long")
+
+
 def bootstrap_auc(scores: DataFrame, replicates: int = REPLICATES, seed: int = 42,
                   model_col: str = "model", label_col: str = "label",
                   score_col: str = "score", broadcast_cells: int = BROADCAST_CELLS) -> DataFrame:
@@ -59,25 +105,24 @@ def bootstrap_auc(scores: DataFrame, replicates: int = REPLICATES, seed: int = 4
     # Draws are made from pieces of a replicate's slots. Pieces of one replicate stand together, so a task
     # meets few replicates and its counts by score fold many draws into one.
     reps = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate")
-    slots = cells.groupBy(model_col, "_m").agg(F.max("_n").alias("_n")) \
-        .select(model_col, "_m", "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(PIECE).cast("long"))).alias("_from")) \
-        .select(model_col, "_m", "_n", "_from", reps).repartitionByRange(n, "_m", "replicate", "_from") \
-        .select(model_col, "_m", "_n", "replicate", F.explode(F.sequence("_from", F.least(F.col("_from") + PIECE, F.col("_n")) - 1)).alias("_i"))
-    draws = slots.select(
-        "_m", "replicate", (md5_key60(F.lit(str(seed)), model_col, "replicate", "_i") % F.col("_n")).alias("_j"))
-    # Positions share high bits with about as many ranges as there are cells; a range's key is one
-    # number of model and high bits.
-    shift = max(0, (n_rows // max(n_cells, 1)).bit_length() - 1)
-    key = lambda c: F.shiftleft(F.col("_m"), 48).bitwiseOR(F.shiftright(F.col(c), shift))
-    found = cells.select("_m", label_col, score_col, "_first", "_last", F.explode(F.sequence(key("_first"), key("_last"))).alias("_key")) \
-        .drop("_m")
-    keyed = draws.withColumn("_key", key("_j"))
-    if n_cells <= broadcast_cells:  # measured; the ranges are at most three times as many
-        met = keyed.join(F.broadcast(found), "_key")
+    pieces = cells.groupBy("_m", F.col(model_col).cast("string").alias("_model")).agg(F.max("_n").alias("_n")) \
+        .select("_m", "_model", "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(PIECE).cast("long"))).alias("_from")) \
+        .select("_m", "_model", "_n", "_from", reps).repartitionByRange(n, "_m", "replicate", "_from") \
+        .sortWithinPartitions("_m", "replicate")
+    if n_cells <= broadcast_cells:  # measured
+        picked = _counted(pieces, cells, seed).join(
+            F.broadcast(cells.select("_m", "_first", score_col, label_col)), ["_m", "_first"]) \
+            .groupBy("_m", "replicate", score_col, label_col).agg(F.sum("_drawn").alias("count"))
     else:
-        met = keyed.join(found, "_key")
-    picked = met.where((F.col("_j") >= F.col("_first")) & (F.col("_j") <= F.col("_last"))) \
-        .groupBy("_m", "replicate", score_col, label_col).count()
+        # Positions share high bits with about as many ranges as there are cells; a range's key is one
+        # number of model and high bits.
+        shift = max(0, (n_rows // max(n_cells, 1)).bit_length() - 1)
+        key = lambda c: F.shiftleft(F.col("_m"), 48).bitwiseOR(F.shiftright(F.col(c), shift))
+        found = cells.select("_m", label_col, score_col, "_first", "_last", F.explode(F.sequence(key("_first"), key("_last"))).alias("_key")) \
+            .drop("_m")
+        met = _drawn(pieces, seed).withColumn("_key", key("_j")).join(found, "_key")
+        picked = met.where((F.col("_j") >= F.col("_first")) & (F.col("_j") <= F.col("_last"))) \
+            .groupBy("_m", "replicate", score_col, label_col).count()
     models = F.broadcast(cells.select("_m", model_col).distinct())  # one row for each model
     picked = picked.join(models, "_m")
     return roc_auc(picked, label_col, score_col, group_cols=[model_col, "replicate"], weight_col="count",
