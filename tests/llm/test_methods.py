@@ -290,3 +290,27 @@ def test_queries_equal_their_sql(spark, name):
     got = queries.queries()[name](spark, SF001)
     assert sorted(got.columns) == sorted(cols)
     assert sorted(map(repr, (tuple(r) for r in got.select(*cols).collect()))) == sorted(map(repr, want.fetchall()))
+
+
+def test_a_training_step_touches_only_what_its_words_meet():
+    """One step equals Adagrad over all parameters to the bit, and its cost does not follow the number of buckets."""
+    import time
+    from txrisk.llm import language_model as lm
+    rng = np.random.default_rng(3)
+    ids = np.minimum(rng.zipf(1.3, 500), lm.VOCABULARY - 1).astype(np.int64)
+    took = {}
+    for buckets in (1_000, 1_000_000):
+        near = rng.integers(0, lm.VOCABULARY + 1_000, (500, 2 * lm.REACH)).astype(np.int32)
+        net = lm.Window(buckets=buckets)
+        before, scale = net.rows.copy(), np.full_like(net.rows, 0.1)
+        net.train(ids, near, scale)
+        rest = np.setdiff1d(np.arange(net.seen), near)
+        assert np.array_equal(net.rows[rest], before[rest]) and (scale[rest] == np.float32(0.1)).all()
+        assert not np.array_equal(net.rows[np.unique(near)], before[np.unique(near)]) and not net.step.any()
+        begun = time.process_time()
+        for _ in range(20):
+            net.train(ids, near, scale)
+        took[buckets] = time.process_time() - begun
+    assert took[1_000_000] < 8 * took[1_000]
+    rows = rng.normal(size=(9, 3)).astype(np.float32)
+    assert np.array_equal(lm.Window.sums(rows, np.array([0, 1, 4, 5])), np.add.reduceat(rows, [0, 1, 4, 5]))

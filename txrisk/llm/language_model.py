@@ -185,9 +185,10 @@ class Ids:
         n = len(ids)
         near = np.full((n, 2 * REACH), BEYOND, dtype=np.uint16 if VOCABULARY + self.buckets < 1 << 16 else np.int32)
         for c, k in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
-            i = np.arange(max(0, -k), min(n, n - k))
-            same = words.text[i] == words.text[i + k]
-            near[i[same], c] = seen[i[same] + k]
+            lo, hi = max(0, -k), min(n, n - k)
+            if lo < hi:
+                same = words.text[lo:hi] == words.text[lo + k:hi + k]
+                near[lo:hi, c] = np.where(same, seen[lo + k:hi + k], BEYOND)
         return ids, near, words
 
 
@@ -205,6 +206,7 @@ class Window:
             rows[-1 - 2 * REACH:-1, :DIM] = 1
             rows[-1] = 0
         self.rows = rows
+        self.step = np.zeros_like(rows)
         self.buckets = len(rows) - self.ROWS
         self.seen = VOCABULARY + self.buckets
         self.vector = rows[:self.seen, :DIM]
@@ -216,7 +218,8 @@ class Window:
     def hidden(self, near: np.ndarray) -> np.ndarray:
         total = np.broadcast_to(self.bias, (len(near), DIM)).copy()
         for k in range(near.shape[1]):
-            total += self.vector[near[:, k]] * self.place[k]
+            # take copies whole rows, several times faster than an index does
+            total += self.rows.take(near[:, k], axis=0)[:, :DIM] * self.place[k]
         return np.tanh(total, out=total)
 
     @staticmethod
@@ -234,7 +237,7 @@ class Window:
             own = self.word[c * PER_CLASS:(c + 1) * PER_CLASS]
             for i in range(lo, hi, BATCH):
                 at = order[i:min(hi, i + BATCH)]
-                h = self.hidden(near[at])
+                h = self.hidden(near.take(at, axis=0))
                 groups = h @ self.group[:, :DIM].T + self.group[:, DIM]
                 words = h @ own[:, :DIM].T + own[:, DIM]
                 got = groups[:, c] + words[np.arange(len(at)), ids[at] % PER_CLASS]
@@ -243,12 +246,23 @@ class Window:
                 out[at] = got - np.log(groups.sum(1)) - np.log(words.sum(1))
         return out
 
+    @staticmethod
+    def sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Sums of the runs of rows that begin at ``first``; runs of one row, the most, are only copied."""
+        size = np.diff(first, append=len(rows))
+        several = size > 1
+        out = rows.take(first, axis=0)
+        if several.any():
+            of = size[several]
+            out[several] = np.add.reduceat(rows.take(np.flatnonzero(np.repeat(several, size)), axis=0), np.cumsum(of) - of)
+        return out
+
     def train(self, ids: np.ndarray, near: np.ndarray, scale: np.ndarray) -> None:
         """One step of Adagrad; ``scale`` holds the squared gradients so far."""
         order, ranges = self.by_class(ids)
-        ids, near = ids[order], near[order]
+        ids, near = ids[order], near.take(order, axis=0)
         h = self.hidden(near)
-        step = np.zeros_like(self.rows)
+        step = self.step
         vector, word = step[:self.seen], step[self.seen:self.seen + VOCABULARY]
         group = step[self.seen + VOCABULARY:self.seen + VOCABULARY + CLASSES]
         inside = ids % PER_CLASS
@@ -273,14 +287,31 @@ class Window:
         for k in range(near.shape[1]):
             w = near[:, k]
             by_word = np.argsort(w, kind="stable")
-            first = np.flatnonzero(np.append(True, np.diff(w[by_word]) != 0))
-            total = np.add.reduceat(back[by_word], first)
-            at = w[by_word[first]]
-            step[-1 - 2 * REACH + k, :DIM] = (total * self.vector[at]).sum(0)
-            vector[at, :DIM] += total * self.place[k]
-        scale += step * step
-        self.rows -= RATE * step / np.sqrt(scale + 1e-6)
-        np.clip(self.rows, -BOUND, BOUND, out=self.rows)
+            w = w[by_word]
+            first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+            total = self.sums(back.take(by_word, axis=0), first)
+            at = w[first]
+            step[-1 - 2 * REACH + k, :DIM] = (total * self.rows.take(at, axis=0)[:, :DIM]).sum(0)
+            total *= self.place[k]
+            total += vector.take(at, axis=0)[:, :DIM]
+            vector[at, :DIM] = total
+        # Parameters that no word of the step meets have no gradient: they stay, whatever their number.
+        met = np.zeros(len(step), dtype=bool)
+        met[self.seen + VOCABULARY:] = True
+        met[near] = True
+        for c, _, _ in ranges:
+            met[self.seen + c * PER_CLASS:self.seen + (c + 1) * PER_CLASS] = True
+        met = np.flatnonzero(met)
+        own = step.take(met, axis=0)
+        step[met] = 0
+        seen = scale.take(met, axis=0)
+        seen += own * own
+        scale[met] = seen
+        seen += np.float32(1e-6)
+        own *= np.float32(RATE)
+        own /= np.sqrt(seen, out=seen)
+        own = np.subtract(self.rows.take(met, axis=0), own, out=own)
+        self.rows[met] = np.clip(own, -BOUND, BOUND, out=own)
 
 
 def trained(docs: DataFrame, words: list[str], text_col: str = "text", rounds: int = 1) -> Window:
