@@ -136,3 +136,12 @@ def test_bootstrap_hashes_no_row_per_draw(spark):
     plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "md5" not in plan and "MapInArrow" in plan
     assert seen[0].agg({"count": "sum"}).first()[0] == 3 * 200
+
+
+def test_bootstrap_with_rows_without_score(spark):
+    """Rows without a score, label or both: either way to meet the cells gives the same replicates, fewer draws than rows."""
+    rows = [(m, i, None if i % 11 == 4 else int(i % 3 == 0), None if i % 7 == 2 else float(i % 13)) for m in ("a", "b") for i in range(150)]
+    sc = spark.createDataFrame(rows, "model string, row_id long, label int, score double")
+    got = [sorted(map(tuple, bs.bootstrap_auc(sc, 3, 5, broadcast_cells=cells).collect()), key=lambda r: r[:2]) for cells in (10_000, 0)]
+    assert got[0] == got[1] and len(got[0]) == 6
+    assert all(100 < r[3] + r[4] < 150 for r in got[0])

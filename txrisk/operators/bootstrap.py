@@ -70,9 +70,13 @@ def _drawn(pieces: DataFrame, seed: int) -> DataFrame:
 
 
 def _counted(pieces: DataFrame, cells: DataFrame, seed: int) -> DataFrame:
-    """(_m, replicate, _first, _drawn): how often the pieces of each partition draw the cell that begins at ``_first``."""
-    at = cells.select("_m", "_first").toPandas()  # as many as are broadcast at most
-    sent = cells.sparkSession.sparkContext.broadcast({m: np.sort(g.to_numpy(dtype=np.int64)) for m, g in at.groupby("_m")["_first"]})
+    """(_m, replicate, _first, _drawn): how often the pieces of each partition draw the cell that begins at ``_first``.
+
+    Positions of rows without a score lie in no cell; their draws count for none.
+    """
+    at = cells.select("_m", "_first", "_last").toPandas().sort_values(["_m", "_first"])  # as many as are broadcast at most
+    sent = cells.sparkSession.sparkContext.broadcast(
+        {m: tuple(g[c].to_numpy(dtype=np.int64) for c in ("_first", "_last")) for m, g in at.groupby("_m")})
 
     def count(batches):
         now, drawn = None, None
@@ -81,15 +85,16 @@ def _counted(pieces: DataFrame, cells: DataFrame, seed: int) -> DataFrame:
             met = np.flatnonzero(drawn)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(met), now[0])), pa.array(np.full(len(met), now[1], dtype=np.int32)),
-                 pa.array(sent.value[now[0]][met]), pa.array(drawn[met])], names=["_m", "replicate", "_first", "_drawn"])
+                 pa.array(sent.value[now[0]][0][met]), pa.array(drawn[met])], names=["_m", "replicate", "_first", "_drawn"])
         for m, r, j in _draws(batches, seed):
-            first = sent.value[m]
+            first, last = sent.value[m]
             if now != (m, r):
                 if now:
                     yield rows()
                 now, drawn = (m, r), np.zeros(len(first), dtype=np.int64)
             j.sort()
-            drawn += np.bincount(np.searchsorted(first, j, "right") - 1, minlength=len(first))
+            cell = np.searchsorted(first, j, "right") - 1
+            drawn += np.bincount(cell[(cell >= 0) & (j <= last[cell])], minlength=len(first))
         if now:
             yield rows()
     return pieces.mapInArrow(count, "_m long, replicate int, _first long, _drawn long")
