@@ -128,3 +128,45 @@ def test_fast_rounding_is_the_same(spark):
     xs += [rnd.uniform(-10, 10) for _ in range(3000)] + [k / 2e6 - 1e-9 for k in range(1, 400, 2)] + [rnd.uniform(0, 1e9) for _ in range(200)]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     assert df.where(~stable_round(F.col("x")).eqNullSafe(stable_round_fast(F.col("x")))).collect() == []
+
+
+def _whole(cust, term, **kw):
+    got = sp.within_radius(cust, term, 5.0, "cid", "cx", "cy", "tid", "tx", "ty", lists=True, whole=True, **kw)
+    return sp.terminal_lists(cust, got, "cid", "tid", whole=True)
+
+
+def test_whole_lists_in_any_cells(spark, monkeypatch):
+    """One row for each point with all of its key's pairs: repeated keys at one and at several places, no key, no place,
+    whole cells, cut ones, and cells whose targets are dealt in chunks."""
+    nan = float("nan")
+    c = _spread(200, 11) + [(i, 1.0, 1.0) for i in range(195, 300)] + [(300 + i % 3, 4.0, -0.0 if i % 2 else 0.0) for i in range(9)] \
+        + [(900, 80.0, 80.0), (901, nan, 1.0), (5, nan, 2.0), (902, 1.0, None), (None, 1.0, 1.0), (None, nan, None)]
+    t = _spread(150, 12) + [(i - 300, 1.0 + i / 400, 1.0) for i in range(150)] + [(3, 1.0, 1.0), (None, 1.0, 1.0)]
+    cust, term = spark.createDataFrame(c, "cid long, cx double, cy double"), spark.createDataFrame(t, "tid int, tx double, ty double")
+    near = {}
+    for i, j in _brute([p for p in c if None not in p], [q for q in t if None not in q]):
+        near.setdefault(i, []).append(j)
+    want = sorted((str(i), sorted(near.get(i, [])), len(near.get(i, []))) for i, _, _ in c)
+    for least, most, targets in ((10_000, 50, 10**6), (20, 100, 30)):
+        monkeypatch.setattr(sp, "MOST_TARGETS", targets)
+        out = _whole(cust, term, least=least, pairs=(most, most))
+        assert out.schema["available_terminals"].dataType.simpleString() == "array<int>"
+        assert sorted((str(r.cid), r.available_terminals, r.nb_terminals) for r in out.collect()) == want
+    assert {r.nb_terminals for r in _whole(cust, term.limit(0)).collect()} == {0}
+
+
+def test_lists_are_not_shuffled(spark, tmp_path):
+    """Only points and targets are: nothing is exchanged or joined after the lists are made."""
+    from txrisk.plans import label_queries as lq
+    spark.range(400).selectExpr("id as c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.range(300).selectExpr("id as s_suppkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    out = lq.customer_terminal_lists(spark, str(tmp_path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    above, made, _ = plan.partition("MapInArrow")
+    assert made and not [x for x in ("Join", "Repartition", "Aggregate", "Sort") if x in above]
+    rows = {r.CUSTOMER_ID: r.available_terminals for r in out.collect()}
+    place = lambda k: (k * 7919 % 10000 / 100, k * 104729 % 10000 / 100)
+    want = {i: [] for i in range(400)}
+    for i, j in _brute([(i, *place(i)) for i in range(400)], [(j, *place(j)) for j in range(300)]):
+        want[i].append(str(j))
+    assert rows == {i: ",".join(v) for i, v in want.items()}

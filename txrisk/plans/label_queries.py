@@ -181,7 +181,7 @@ def terminal_points(spark, sf_dir):
 def _pairs(spark, sf_dir, lists=False):
     return sp.within_radius(customer_points(spark, sf_dir), terminal_points(spark, sf_dir), RADIUS,
                             S.CUSTOMER_ID, "x_customer_id", "y_customer_id",
-                            S.TERMINAL_ID, "x_terminal_id", "y_terminal_id", lists=lists)
+                            S.TERMINAL_ID, "x_terminal_id", "y_terminal_id", lists=lists, whole=lists)
 
 
 @query("terminals_in_radius", f"WITH {XY_SQL} SELECT CUSTOMER_ID, TERMINAL_ID, round(distance + 1e-9, 6) AS distance FROM pairs")
@@ -195,7 +195,7 @@ SELECT c.CUSTOMER_ID, CAST(count(p.TERMINAL_ID) AS INTEGER) AS nb_terminals,
        coalesce(string_agg(CAST(p.TERMINAL_ID AS VARCHAR), ',' ORDER BY p.TERMINAL_ID), '') AS available_terminals
 FROM c LEFT JOIN pairs p ON c.CUSTOMER_ID = p.CUSTOMER_ID GROUP BY c.CUSTOMER_ID""")
 def customer_terminal_lists(spark, sf_dir):
-    lists = sp.terminal_lists(customer_points(spark, sf_dir), _pairs(spark, sf_dir, lists=True), S.CUSTOMER_ID, S.TERMINAL_ID)
+    lists = sp.terminal_lists(customer_points(spark, sf_dir), _pairs(spark, sf_dir, lists=True), S.CUSTOMER_ID, S.TERMINAL_ID, whole=True)
     return lists.select(S.CUSTOMER_ID, "nb_terminals",
                         F.array_join("available_terminals", ",").alias("available_terminals"))
 
